@@ -1,0 +1,49 @@
+"""Run a query in Spark and its SQL in DuckDB and compare all rows."""
+
+from __future__ import annotations
+
+import math
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        path = Path(sf_dir) / f"{table}.parquet"
+        if path.exists():
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _sortable(row):
+    return tuple((value is not None, str(type(value)), value if value is not None else 0) for value in row)
+
+
+def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    picked = [tuple(row[i] for i in order) for row in rows]
+    return [columns[i] for i in order], sorted(picked, key=_sortable)
+
+
+def difference(spark_frame, con, sql: str) -> str | None:
+    """None when columns and rows agree, else what differs first."""
+    result = con.execute(sql)
+    want = rows_of([d[0] for d in result.description], result.fetchall())
+    got = rows_of(spark_frame.columns, [tuple(r) for r in spark_frame.collect()])
+    if got[0] != want[0]:
+        return f"columns {got[0]} != {want[0]}"
+    if len(got[1]) != len(want[1]):
+        return f"{len(got[1])} rows != {len(want[1])}"
+    for mine, theirs in zip(got[1], want[1]):
+        for a, b in zip(mine, theirs):
+            same = math.isclose(a, b, rel_tol=1e-12) if isinstance(a, float) and isinstance(b, float) else a == b
+            if not same or type(a) is not type(b):
+                return f"{mine} != {theirs}"
+    return None
