@@ -10,11 +10,14 @@ from marquee.operators.filters import (
 )
 from marquee.operators.joins import join_genome_tags, join_links, join_movie_data, join_ratings_movies
 from marquee.operators.ranking import ranked_top_k, top_k, top_k_per_group
+from marquee.operators.sizing import BROADCAST_LIMIT, broadcast_if_small
 from marquee.operators.splits import append_rows, key_split, random_split
 
 __all__ = [
+    "BROADCAST_LIMIT",
     "any_rows",
     "append_rows",
+    "broadcast_if_small",
     "distinct_rows",
     "drop_null_aggregates",
     "drop_null_keys",

@@ -1,8 +1,9 @@
 """The inner joins of the curation.
 
-No join carries a hint: Spark broadcasts a side only while its measured size is
-under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges,
-where adaptive execution splits the partitions of a hot key.
+Ratings meet a movie dimension by broadcast only if the dimension has been measured
+and found small. Otherwise, and in all other joins, the choice is Spark's: a side
+under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, and larger ones are
+sorted and merged, where adaptive execution splits the partitions of a hot movie.
 
 The dimension joins take any frame with the join column, so they can run at movie
 grain before the ratings are touched; being inner, the result is the same.
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.sizing import BROADCAST_LIMIT, broadcast_if_small
+
 _MOVIE_FACTS = [
     "language",
     "plot",
@@ -24,8 +27,11 @@ _MOVIE_FACTS = [
 ]
 
 
-def join_ratings_movies(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    return ratings.join(movies, "movieid")
+def join_ratings_movies(
+    ratings: DataFrame, movies: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """Ratings with the columns of their movie."""
+    return ratings.join(broadcast_if_small(movies, broadcast_limit), "movieid")
 
 
 def join_links(movies: DataFrame, links: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.titles import release_year, title_without_year
 from marquee.operators.joins import join_genome_tags, join_links, join_movie_data, join_ratings_movies
+from marquee.operators.sizing import BROADCAST_LIMIT
 from marquee.schemas import MOVIE_REPO_COLUMNS
 
 
@@ -18,14 +19,21 @@ def movie_attributes(movies: DataFrame, links: DataFrame, movie_data: DataFrame)
     )
 
 
-def movie_repo(ratings: DataFrame, movies: DataFrame, links: DataFrame, movie_data: DataFrame) -> DataFrame:
+def movie_repo(
+    ratings: DataFrame,
+    movies: DataFrame,
+    links: DataFrame,
+    movie_data: DataFrame,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
     """One row per rating with the movie's attributes repeated on it.
 
     The three dimension tables meet at movie grain and titles are parsed there, so
-    the ratings are shuffled once at most.
+    the ratings are shuffled once at most, and not at all if the joined dimension
+    fits the broadcast limit.
     """
     attributes = movie_attributes(movies, links, movie_data)
-    return join_ratings_movies(ratings, attributes).select(MOVIE_REPO_COLUMNS)
+    return join_ratings_movies(ratings, attributes, broadcast_limit).select(MOVIE_REPO_COLUMNS)
 
 
 def movie_tags(scores: DataFrame, tags: DataFrame) -> DataFrame:

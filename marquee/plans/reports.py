@@ -74,12 +74,21 @@ _PROFILE = {
     "latest_release_year": "max(release_year)",
 }
 
-# The same four at rating grain.
-_ROW_PROFILE = {
-    "average_rating": "avg(rating)",
-    "average_vote": "avg(vote_average)",
-    "average_popularity": "avg(popularity)",
-    "latest_release_year": "max(release_year)",
+# The same four per user, by way of sums and counts.
+_USER_SUMS = {
+    "rated": "count(rating)",
+    "rating_sum": "sum(rating)",
+    "voted": "count(vote_average)",
+    "vote_sum": "sum(vote_average)",
+    "measured": "count(popularity)",
+    "popularity_sum": "sum(popularity)",
+    "plain_year": "max(plain_year)",
+}
+_USER_PROFILE = {
+    "average_rating": "try_divide(sum(rating_sum), sum(rated))",
+    "average_vote": "try_divide(sum(vote_sum), sum(voted))",
+    "average_popularity": "try_divide(sum(popularity_sum), sum(measured))",
+    "latest_release_year": "greatest(lpad(CAST(max(plain_year) AS STRING), 4, '0'), max(odd_year))",
 }
 
 # Headers of the exported files, fixed because the chart pages look columns up by them.
@@ -116,7 +125,7 @@ REPORTS = {
         complete_groups_only=True,
     ),
     "profile_movies": Report("title", _PROFILE, "movies", "movies_final", complete_groups_only=True),
-    "profile_users": Report("userid", _ROW_PROFILE, "users", "users", complete_groups_only=True),
+    "profile_users": Report("userid", _USER_PROFILE, "users", "users", complete_groups_only=True),
     "count_by_genre": Report("genres", {"title_count": _count("title")}, "genre", "genre-movie"),
     "count_by_language": Report("language", {"title_count": _count("title")}, "lang", "lang-movie"),
     "count_by_vote": Report("vote_average", {"title_count": _count("title")}, "vote", "vote-movie"),
@@ -152,8 +161,23 @@ def movie_report(name: str, rollup: DataFrame) -> DataFrame:
 
 
 def user_profile(repo: DataFrame) -> DataFrame:
-    """Per user the mean rating, vote and popularity and the latest release year."""
-    return _build(REPORTS[USER_REPORT], repo)
+    """Per user the mean rating, vote and popularity and the latest release year.
+
+    A maximum over text would make Spark sort all ratings by user before it adds them
+    up. Four-digit years therefore travel as numbers; any other text becomes part of
+    the first grouping key. So the ratings meet a hash aggregate, and the text maximum
+    is left to a second grouping of about one row per user.
+    """
+    plain = F.col("release_year").rlike("^[0-9]{4}$")
+    rows = drop_null_keys(repo, "userid").select(
+        "userid",
+        "rating",
+        "vote_average",
+        "popularity",
+        F.when(plain, F.col("release_year").try_cast("int")).alias("plain_year"),
+        F.when(~plain, F.col("release_year")).alias("odd_year"),
+    )
+    return _build(REPORTS[USER_REPORT], rows.groupBy("userid", "odd_year").agg(*_measures(_USER_SUMS)))
 
 
 def all_reports(repo: DataFrame) -> dict[str, DataFrame]:

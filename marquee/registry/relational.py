@@ -25,6 +25,7 @@ from marquee.operators import (
 )
 from marquee.operators.splits import SPLIT_NAMES
 from marquee.plans import recommend
+from marquee.plans.reports import movie_rollup
 from marquee.registry import domain
 from marquee.registry.domain import single, single_sql, with_tables
 from marquee.sinks import preview
@@ -82,8 +83,9 @@ def matches(spark: SparkSession, sf: str) -> DataFrame:
 
 def complete_genres(spark: SparkSession, sf: str) -> DataFrame:
     """Latest year per genre text; the genre whose movies have none drops out."""
-    years = domain.repo(spark, sf).groupBy("genres").agg(
-        F.count(F.lit(1)).alias("ratings"), F.max("release_year").alias("latest_release_year")
+    rollup = movie_rollup(domain.ratings(spark, sf), domain.attributes(spark, sf))
+    years = rollup.groupBy("genres").agg(
+        F.sum("ratings").alias("ratings"), F.max("release_year").alias("latest_release_year")
     )
     return drop_null_aggregates(years, ["latest_release_year"])
 

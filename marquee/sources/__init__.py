@@ -1,4 +1,4 @@
-from marquee.sources.delimited import read_csv_by_name, scan_csv, split_text_ratings
+from marquee.sources.delimited import read_csv_by_name, read_table, scan_csv, split_text_ratings
 from marquee.sources.inline import rating_rows, value_rows
 from marquee.sources.views import query_views
 
@@ -6,6 +6,7 @@ __all__ = [
     "query_views",
     "rating_rows",
     "read_csv_by_name",
+    "read_table",
     "scan_csv",
     "split_text_ratings",
     "value_rows",
