@@ -52,7 +52,7 @@ def estimator(spark: SparkSession, settings: AlsSettings) -> ALS:
     cluster's cores up to a size beyond which block-to-block messages would cost
     more than they spread.
     """
-    blocks = settings.blocks or min(max(10, spark.sparkContext.defaultParallelism), 500)
+    blocks = settings.blocks or min(spark.sparkContext.defaultParallelism, 500)
     return ALS(
         userCol="userid",
         itemCol="movieid",

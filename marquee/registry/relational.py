@@ -187,7 +187,7 @@ QUERIES = {
     "inline_rows": named_genres,
     "sql_view_query": sql_over_views,
     "title_search": seeds,
-    "title_search_literal": lambda spark, sf: search_titles(domain.movies(spark, sf), "d %(", literal=True),
+    "title_search_literal": lambda spark, sf: search_titles(domain.movies(spark, sf), "d ring (", literal=True),
     "title_search_wildcard": lambda spark, sf: search_titles(domain.movies(spark, sf), "d %(199_"),
     "genre_filter": by_shelf,
     "genre_filter_single": lambda spark, sf: filter_genre(domain.movies(spark, sf), "Drama"),
@@ -263,7 +263,7 @@ SQL = {
     ),
     "title_search": with_tables("movies", _SEEDS),
     "title_search_literal": with_tables(
-        "movies", "SELECT movieid, title FROM movies WHERE contains(lower(title), 'd %(')"
+        "movies", "SELECT movieid, title FROM movies WHERE contains(lower(title), 'd ring (')"
     ),
     "title_search_wildcard": with_tables(
         "movies", "SELECT movieid, title FROM movies WHERE lower(title) LIKE '%d %(199_%'"

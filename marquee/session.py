@@ -26,24 +26,26 @@ def job_session(app_name: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in the session.
+    """Folder every executor can reach: the one the session names, else the one in use.
 
     Only a local session (one machine) may fall back to a temporary folder.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="marquee-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def enable_checkpoints(spark: SparkSession) -> None:
     """Point the context at the shared folder unless it already has one."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        folder = shared_folder(spark)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,0 +1,56 @@
+"""Where checkpoints and scratch tables go."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from marquee.session import CHECKPOINT_KEY, enable_checkpoints, scratch_path, shared_folder
+
+
+class Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):  # noqa: N802
+        return self.folder
+
+    def setCheckpointDir(self, folder):  # noqa: N802
+        self.folder = folder
+
+
+class Session:
+    """Just the parts of a session that name folders."""
+
+    def __init__(self, master, named=None, folder=None):
+        self.sparkContext = Context(master, folder)
+        self.conf = {CHECKPOINT_KEY: named} if named else {}
+
+
+def test_the_named_folder_is_used():
+    session = Session("yarn", named="hdfs://shared/checkpoints/")
+    assert shared_folder(session) == "hdfs://shared/checkpoints"
+    enable_checkpoints(session)
+    assert session.sparkContext.folder == "hdfs://shared/checkpoints"
+    assert scratch_path(session, "t").startswith("hdfs://shared/checkpoints/marquee/t-")
+    assert scratch_path(session, "t") != scratch_path(session, "t")
+
+
+def test_a_cluster_never_falls_back_to_a_local_folder():
+    with pytest.raises(ValueError, match=CHECKPOINT_KEY):
+        shared_folder(Session("yarn"))
+    with pytest.raises(ValueError, match=CHECKPOINT_KEY):
+        enable_checkpoints(Session("k8s://x"))
+
+
+def test_a_folder_already_in_use_stays():
+    session = Session("yarn", folder="hdfs://in-use")
+    enable_checkpoints(session)
+    assert shared_folder(session) == session.sparkContext.folder == "hdfs://in-use"
+
+
+def test_a_local_session_gets_its_own_folder_once():
+    session = Session("local[2]")
+    folder = shared_folder(session)
+    assert os.path.isdir(folder) and shared_folder(session) == folder
