@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.filters import drop_null_aggregates, drop_null_keys
+from marquee.operators.joins import join_ratings_movies
+from marquee.operators.sizing import BROADCAST_LIMIT
 from marquee.session import enable_checkpoints
 
 # Movie attributes that some report groups by, averages, counts or takes the maximum of.
@@ -156,28 +158,46 @@ def _build(report: Report, source: DataFrame) -> DataFrame:
 def movie_report(name: str, rollup: DataFrame) -> DataFrame:
     """Any report but the user profile, from a movie-grain rollup."""
     if name == USER_REPORT:
-        raise ValueError("the user profile is built from rating rows; call user_profile")
+        raise ValueError("the user profile is built from rating rows: call user_profile or star_user_profile")
     return _build(REPORTS[name], rollup)
 
 
-def user_profile(repo: DataFrame) -> DataFrame:
-    """Per user the mean rating, vote and popularity and the latest release year.
-
-    A maximum over text would make Spark sort all ratings by user before it adds them
-    up. Four-digit years therefore travel as numbers; any other text becomes part of
-    the first grouping key. So the ratings meet a hash aggregate, and the text maximum
-    is left to a second grouping of about one row per user.
-    """
-    plain = F.col("release_year").rlike("^[0-9]{4}$")
-    rows = drop_null_keys(repo, "userid").select(
-        "userid",
-        "rating",
-        "vote_average",
-        "popularity",
+def _year_parts(frame: DataFrame) -> DataFrame:
+    """Release years as numbers where they are four digits, as text where they are not."""
+    plain = F.col("release_year").rlike(r"^[0-9]{4}\z")
+    return frame.select(
+        *[c for c in frame.columns if c != "release_year"],
         F.when(plain, F.col("release_year").try_cast("int")).alias("plain_year"),
         F.when(~plain, F.col("release_year")).alias("odd_year"),
     )
-    return _build(REPORTS[USER_REPORT], rows.groupBy("userid", "odd_year").agg(*_measures(_USER_SUMS)))
+
+
+def _profile_of_users(rows: DataFrame) -> DataFrame:
+    """The user profile from rating rows with their year in two parts.
+
+    A maximum over text would make Spark sort all ratings by user before it adds them
+    up. Plain years are numbers and the rare other text is part of the first grouping
+    key, so the ratings meet a hash aggregate, and the text maximum is left to a second
+    grouping of about one row per user.
+    """
+    per_year_text = drop_null_keys(rows, "userid").groupBy("userid", "odd_year").agg(*_measures(_USER_SUMS))
+    return _build(REPORTS[USER_REPORT], per_year_text)
+
+
+_USER_ATTRIBUTES = ["vote_average", "popularity", "release_year"]
+
+
+def user_profile(repo: DataFrame) -> DataFrame:
+    """Per user the mean rating, vote and popularity and the latest release year."""
+    return _profile_of_users(_year_parts(repo.select("userid", "rating", *_USER_ATTRIBUTES)))
+
+
+def star_user_profile(
+    ratings: DataFrame, attributes: DataFrame, broadcast_limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """The same from ratings and movie attributes; years are taken apart once per movie."""
+    narrow = _year_parts(attributes.select("movieid", *_USER_ATTRIBUTES))
+    return _profile_of_users(join_ratings_movies(ratings, narrow, broadcast_limit))
 
 
 def all_reports(repo: DataFrame) -> dict[str, DataFrame]:

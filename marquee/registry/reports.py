@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators import join_ratings_movies
 from marquee.plans import reports
 from marquee.registry import domain
 from marquee.registry.domain import single, single_sql, with_tables
@@ -15,8 +14,7 @@ def build(name: str, spark: SparkSession, sf: str) -> DataFrame:
     """One report straight from the ratings and the movie dimension."""
     ratings, attributes = domain.ratings(spark, sf), domain.attributes(spark, sf)
     if name == reports.USER_REPORT:
-        narrow = attributes.select("movieid", "vote_average", "popularity", "release_year")
-        return reports.user_profile(join_ratings_movies(ratings, narrow))
+        return reports.star_user_profile(ratings, attributes)
     return reports.movie_report(name, reports.movie_rollup(ratings, attributes))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import join_ratings_movies, top_k, top_k_per_group
 from marquee.plans.recommend import shelf_rows
-from marquee.plans.reports import MOVIE_REPORTS, movie_report, movie_rollup, user_profile
+from marquee.plans.reports import MOVIE_REPORTS, movie_report, movie_rollup, star_user_profile, user_profile
 from marquee.registry import all_queries, domain
 
 LAZY = [
@@ -55,15 +55,13 @@ def test_movie_reports_never_shuffle_rating_rows(spark, sf_dir, conf):
 
 
 def test_user_profile_hashes_and_does_not_sort_ratings(spark, sf_dir):
-    joined = join_ratings_movies(
-        domain.ratings(spark, sf_dir),
-        domain.attributes(spark, sf_dir).select("movieid", "vote_average", "popularity", "release_year"),
-    )
-    plan = physical_plan(user_profile(joined))
-    fact = plan[plan.index("HashAggregate(keys=[userid") :]
-    assert "Sort" not in fact and "BroadcastHashJoin" in fact
+    ratings, attributes = domain.ratings(spark, sf_dir), domain.attributes(spark, sf_dir)
+    for profile in (star_user_profile(ratings, attributes), user_profile(join_ratings_movies(ratings, attributes))):
+        plan = physical_plan(profile)
+        fact = plan[plan.index("HashAggregate(keys=[userid") :]
+        assert "Sort" not in fact and "BroadcastHashJoin" in fact
     # A dimension over the limit: the ratings are sorted and merged instead.
-    merged = join_ratings_movies(domain.ratings(spark, sf_dir), domain.attributes(spark, sf_dir), broadcast_limit=0)
+    merged = star_user_profile(ratings, attributes, broadcast_limit=0)
     assert re.search(r"SortMergeJoin \[movieid", physical_plan(merged))
 
 

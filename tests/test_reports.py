@@ -18,6 +18,7 @@ from marquee.plans.reports import (
     chart_feeds,
     movie_report,
     movie_rollup,
+    star_user_profile,
     user_profile,
     wide_rollup,
     with_published_headers,
@@ -107,6 +108,10 @@ def test_all_reports_over_the_tables(spark, sf_dir):
     found = all_reports(repo)
     assert list(found) == list(REPORTS)
     star = movie_rollup(domain.ratings(spark, sf_dir), domain.attributes(spark, sf_dir))
+    close(
+        by_key(star_user_profile(domain.ratings(spark, sf_dir), domain.attributes(spark, sf_dir))),
+        brute_force("profile_users", data),
+    )
     for name, frame in found.items():
         want = brute_force(name, data)
         close(by_key(frame), want)
