@@ -29,7 +29,7 @@ def run(
     """(top titles, genre shelves) from a single fit; also written as CSV if ``output`` is given."""
     movies = read_table(spark, movies_path, schemas.MOVIES, fmt)
     ratings = read_table(spark, ratings_path, schemas.RATINGS, fmt)
-    scored = infer(ratings, movies, keyword, n, settings).persist()
+    scored = infer(ratings, movies, keyword, n, settings)
     top, shelves = recommended_titles(scored, movies, n), genre_shelves(scored, movies, n)
     if output:
         write_csv(top, f"{output}/titles", mode="overwrite")

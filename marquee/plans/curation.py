@@ -54,8 +54,8 @@ def tag_bundle(scores: DataFrame, tags: DataFrame) -> DataFrame:
     """Per movie three arrays of equal length and equal order: relevance, tag, tagid.
 
     One array of structs keeps the three aligned when a relevance is null. Only
-    distinct rows are gathered, so a movie's array is bounded by the tag dictionary
-    and not by how many rows it has.
+    distinct rows are gathered, so a movie's array grows with the tags and relevances
+    it has and not with how many copies of them there are.
     """
     bundled = movie_tags(scores, tags).groupBy("movieid").agg(
         F.sort_array(F.collect_list(F.struct("tagid", "relevance", "tag"))).alias("entries")

@@ -81,7 +81,9 @@ def fit(ratings: DataFrame, settings: AlsSettings = AlsSettings(), unique_pairs:
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """Predictions for (userid, movieid) pairs; pairs with an unknown side drop out."""
-    return model.transform(pairs)
+    # The model narrows ids to 32 bits on its way.
+    ids = {c: F.col(c).cast("bigint") for c in ("userid", "movieid")}
+    return model.transform(pairs).withColumns(ids)
 
 
 def synthetic_ratings(ratings: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -127,6 +129,9 @@ def infer(
 
     The ratings passed in stay as they are. Without a hit there is nothing to learn
     a taste from: the result is empty and no model is fitted.
+
+    The short list is checkpointed in the shared folder, so the results built on it
+    share one scoring, and losing an executor afterwards does not bring the fit back.
     """
     spark = ratings.sparkSession
     nothing = spark.createDataFrame([], "movieid bigint, prediction float")
@@ -139,7 +144,7 @@ def infer(
     liked = seeds.select(F.lit(userid).alias("userid"), "movieid", F.lit(LIKED).alias("rating"))
     model = fit(append_rows(ratings, liked), settings)
     scored = score_movies(model, userid, without_listed_ids(movies, seeds))
-    return top_k(scored, n * n, "prediction")
+    return top_k(scored, n * n, "prediction").checkpoint()
 
 
 def recommended_titles(scored: DataFrame, movies: DataFrame, n: int = 10) -> DataFrame:

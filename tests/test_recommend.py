@@ -25,7 +25,7 @@ def movies(spark, sf_dir):
 
 @pytest.fixture(scope="module")
 def scored(spark, ratings, movies):
-    return recommend.infer(ratings, movies, KEYWORD, 10, SMALL).checkpoint()
+    return recommend.infer(ratings, movies, KEYWORD, 10, SMALL)
 
 
 @pytest.fixture(scope="module")
