@@ -71,12 +71,14 @@ def estimator(spark: SparkSession, settings: AlsSettings) -> ALS:
 def fit(ratings: DataFrame, settings: AlsSettings = AlsSettings(), unique_pairs: bool = False) -> ALSModel:
     """Fit on one rating per user and movie; ids must fit 32 bits, as ALS checks.
 
-    ``unique_pairs`` states that the ratings already have that grain and saves the
+    Rows without a user, movie or rating, as damaged text files give them, are left
+    out: ALS would stop at the first one. ``unique_pairs`` states that the ratings already have that grain and saves the
     shuffle that restores it.
     """
     spark = ratings.sparkSession
     enable_checkpoints(spark)
-    return estimator(spark, settings).fit(ratings if unique_pairs else one_rating_per_pair(ratings))
+    complete = ratings.dropna("any", subset=["userid", "movieid", "rating"])
+    return estimator(spark, settings).fit(complete if unique_pairs else one_rating_per_pair(complete))
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:

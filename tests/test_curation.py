@@ -16,7 +16,9 @@ def tables(spark):
         [(10, "Heat (1995)", "Crime"), (11, "No Year", "Drama"), (12, "Gone (2001)", "War")],
         "movieid bigint, title string, genres string",
     )
-    links = spark.createDataFrame([(10, 1, 100), (11, 2, 101), (12, 3, None)], "movieid bigint, imdbid bigint, tmdbid bigint")
+    links = spark.createDataFrame(
+        [(10, 1, 100), (11, 2, 101), (12, 3, None)], "movieid bigint, imdbid bigint, tmdbid bigint"
+    )
     data = spark.createDataFrame(
         [(100, "en", "p", 1.5, "/a", "Co", "k", 7.0), (101, None, None, None, None, None, None, None)],
         "id bigint, language string, plot string, popularity double, poster string, "

@@ -124,6 +124,15 @@ def test_shelf_ties_and_genre_variants(spark):
     ]
 
 
+def test_fit_leaves_out_incomplete_rows(spark):
+    good = spark.createDataFrame(
+        [(u, m, 3.0) for u in (1, 2) for m in (1, 2)], "userid bigint, movieid bigint, rating double"
+    )
+    bad = spark.createDataFrame([(None, 1, 1.0), (7, None, 1.0), (8, 1, None)], good.schema)
+    model = recommend.fit(good.union(bad), AlsSettings(rank=2, max_iter=1, blocks=1))
+    assert {r.id for r in model.userFactors.collect()} == {1, 2}
+
+
 def test_fit_treats_repeats_as_their_average(spark):
     once = spark.createDataFrame(
         [(u, m, float((u * m) % 5 + 1)) for u in range(1, 9) for m in range(1, 7)],
