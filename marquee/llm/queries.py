@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.llm.quality import fit_quality, score_quality
 from marquee.llm.token_counts import count_tokens
+from marquee.llm.toxicity import fit_toxicity, score_toxicity
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -19,11 +21,23 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), piece_model())
 
 
 QUERIES = {
+    "op6_toxicity": toxicity,
+    "op7_quality": quality,
     "op10_token_counts": token_counts,
 }
 
