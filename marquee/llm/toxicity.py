@@ -163,11 +163,11 @@ def _summary(odds: np.ndarray, first: np.ndarray) -> np.ndarray:
     p = sigmoid(odds)
     p = np.concatenate(([0], np.cumsum(np.where(p >= 0.1, p, 0))))
     expected = np.log1p(np.maximum(p[first[1:]] - p[first[:-1]], 0))
-    strongest = np.full(len(first) - 1, -15.0)
+    strongest = np.full(len(first) - 1, -6.0)
     some = np.diff(first) > 0
     if some.any():
         strongest[some] = np.maximum.reduceat(odds, first[:-1][some])
-    return np.column_stack((np.clip(strongest, -15, 15), expected))
+    return np.column_stack((np.clip(strongest, -6, 6), expected))
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
