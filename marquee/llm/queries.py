@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.llm.jaccard_join import jaccard_components
 from marquee.llm.quality import fit_quality, score_quality
 from marquee.llm.token_counts import count_tokens
 from marquee.llm.toxicity import fit_toxicity, score_toxicity
@@ -21,6 +22,10 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, threshold=85)
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -36,9 +41,38 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_jaccard_join": jaccard_join,
     "op6_toxicity": toxicity,
     "op7_quality": quality,
     "op10_token_counts": token_counts,
 }
 
-SQL: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+SQL = {
+    "op3_jaccard_join": rf"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT doc_id, list_distinct(CASE
+                WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i+3], ' '))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM words
+        ), tokens AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS token FROM shingles
+        ), links AS (
+            SELECT x.doc_id AS a, y.doc_id AS b
+            FROM tokens x JOIN tokens y ON x.token = y.token AND x.doc_id <> y.doc_id
+            GROUP BY x.doc_id, y.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        ), smallest AS (
+            SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+        )
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM shingles JOIN smallest USING (doc_id)""",
+}
