@@ -57,7 +57,7 @@ SQL = {
             FROM documents
         ), shingles AS (
             SELECT doc_id, list_distinct(CASE
-                WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i+3], ' '))
+                WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))
                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
             FROM words
         ), tokens AS (

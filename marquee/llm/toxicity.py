@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from marquee.llm.labels import held_out, labelled_sample, logistic_fit, sigmoid
 from marquee.llm.words import LOWER, mix, rolling_sums, span_hashes, split, text_slices
 
-SAMPLE_PER_CLASS = 4096  # labelled documents of each class that the model is fitted on, at most
+SAMPLE_PER_CLASS = 2560  # labelled documents of each class that the model is fitted on, at most
 CELLS = 1 << 20
 PREFIXES = (4, 5, 6)
 TEMPLATES = 1 + len(PREFIXES)
@@ -40,7 +40,7 @@ _ENDS[[33, 46, 63]] = True  # the signs . ! ? end a sentence
 class Tokens:
     """Words of a slice without outer punctuation: cells of their features, chains, bounds."""
 
-    cells: np.ndarray  # (words, TEMPLATES)
+    cells: np.ndarray  # (TEMPLATES, words)
     chain_start: np.ndarray
     chain_length: np.ndarray
     first: np.ndarray  # n + 1: the words of each text
@@ -61,15 +61,15 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> Tokens:
     words = split(data, bounds)
     start, end, n = words.start, words.end, len(words.start)
     if not n:
-        return Tokens(np.zeros((0, TEMPLATES), np.int32), start, start, words.first, start, end)
+        return Tokens(np.zeros((TEMPLATES, 0), np.int32), start, start, words.first, start, end)
     low, high = _trimmed(data, start, end)
     sums = rolling_sums(data, LOWER)
-    cells = np.empty((n, TEMPLATES), np.int32)
-    cells[:, 0] = span_hashes(sums, low, high) >> np.uint64(44)
+    cells = np.empty((TEMPLATES, n), np.int32)
+    cells[0] = span_hashes(sums, low, high) >> np.uint64(44)
     for k, size in enumerate(PREFIXES, 1):
         # A word shorter than the prefix has its whole form again, under another name.
         h = span_hashes(sums, low, np.minimum(low + size, high))
-        cells[:, k] = mix(h + np.uint64(k)) >> np.uint64(44)
+        cells[k] = mix(h + np.uint64(k)) >> np.uint64(44)
     opens = np.zeros(n, bool)
     opens[words.first[:-1][words.first[:-1] < n]] = True
     opens[1:] |= _ENDS[data[end[:-1] - 1]]
@@ -107,28 +107,34 @@ def marginals(emission: np.ndarray, start: np.ndarray, length: np.ndarray, moves
 
 def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray) -> np.ndarray:
     """Distant labels of training words."""
-    left = np.concatenate(([0], cells[:-1, 0])).astype(np.int64)
-    marked = np.zeros(len(cells), bool)
+    left = np.concatenate(([0], cells[0, :-1])).astype(np.int64)
+    marked = np.zeros(cells.shape[1], bool)
     n_toxic, n_clean = max(toxic_doc.sum(), 1), max((~toxic_doc).sum(), 1)
     contexts = {}
     for k in range(TEMPLATES):
-        pairs = np.unique((cells[toxic_doc, k].astype(np.int64) << 20) | left[toxic_doc])
+        pairs = np.unique((cells[k, toxic_doc].astype(np.int64) << 20) | left[toxic_doc])
         contexts[k] = np.bincount(pairs >> 20, minlength=CELLS)
     # A toxic form may stand once in a document; forms that copies repeat have few contexts.
     least = max(LEAST_CONTEXTS, CONTEXT_SHARE * max((c.max(initial=0) for c in contexts.values()), default=0))
     for k in range(TEMPLATES):
-        toxic = np.bincount(cells[toxic_doc, k], minlength=CELLS)
-        clean = np.bincount(cells[~toxic_doc, k], minlength=CELLS)
+        toxic = np.bincount(cells[k, toxic_doc], minlength=CELLS)
+        clean = np.bincount(cells[k, ~toxic_doc], minlength=CELLS)
         pure = (contexts[k] >= least) & ((toxic + 0.5) / n_toxic >= CLEAN_RATIO * (clean + 0.5) / n_clean)
-        marked |= pure[cells[:, k]]
+        marked |= pure[cells[k]]
     return marked & toxic_doc
 
 
+def emissions(theta: np.ndarray, cells: np.ndarray, bias: float) -> np.ndarray:
+    total = np.full(cells.shape[1], bias)
+    for own in cells:
+        total += theta[own]
+    return total
+
+
 def fit_chain(cells: np.ndarray, start: np.ndarray, length: np.ndarray, y: np.ndarray):
     """Feature weights and transition scores that maximise the regularised likelihood of the word labels."""
     theta, moves = np.zeros(CELLS), np.zeros((2, 2))
-    flat = cells.ravel()
-    count = np.bincount(flat, minlength=CELLS)
+    count = sum(np.bincount(own, minlength=CELLS) for own in cells)
     scale = 1 / np.sqrt(np.maximum(count, 1))
     square, square_moves = np.full(CELLS, 1e-6), np.full((2, 2), 1e-6)
     n = max(len(y), 1)
@@ -139,15 +145,15 @@ def fit_chain(cells: np.ndarray, start: np.ndarray, length: np.ndarray, y: np.nd
     np.add.at(seen, (y[later - 1].astype(int), y[later].astype(int)), 1)
     bias = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)) if len(y) else 0.0
     for _ in range(ROUNDS):
-        emission = theta[cells].sum(1) + bias
+        emission = emissions(theta, cells, bias)
         odds, forward, backward = marginals(emission, start, length, moves)
         error = sigmoid(odds) - y
-        gradient = np.bincount(flat, np.repeat(error, TEMPLATES), CELLS) * scale + RIDGE * n * theta * 1e-2
+        gradient = sum(np.bincount(own, error, CELLS) for own in cells) * scale + RIDGE * n * theta * 1e-2
         # Expected transitions: the joint of two neighbours is forward, move, emission and backward.
         f, b = forward[later - 1], emission[later] + backward[later]
-        joint = np.stack([moves[i, j] + i * f + j * b for i in (0, 1) for j in (0, 1)])
-        joint = np.exp(joint - np.logaddexp.reduce(joint, axis=0)) if len(later) else joint
-        gradient_moves = (joint.sum(1).reshape(2, 2) - seen) / np.sqrt(n) + 0.01 * moves
+        whole = np.logaddexp(np.logaddexp(moves[0, 0], moves[0, 1] + b), f + np.logaddexp(moves[1, 0], moves[1, 1] + b))
+        joint = np.array([[np.exp(moves[i, j] + i * f + j * b - whole).sum() for j in (0, 1)] for i in (0, 1)])
+        gradient_moves = (joint - seen) / np.sqrt(n) + 0.01 * moves
         square += gradient**2
         square_moves += gradient_moves**2
         theta -= RATE * gradient / np.sqrt(square)
@@ -174,9 +180,9 @@ def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, high, data, bounds in text_slices(batch.column(0)):
             t = tokens(data, bounds)
-            opens = np.zeros(len(t.cells), np.int32)
+            opens = np.zeros(len(t.start), np.int32)
             opens[t.chain_start] = 1
-            rows = np.column_stack((t.cells, opens)).astype(np.int32)
+            rows = np.column_stack((*t.cells, opens))
             parts = [rows[a:b].tobytes() for a, b in zip(t.first[:-1], t.first[1:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(parts, pa.binary()), batch.column(1).slice(low, high - low)], names=["rows", "label"]
@@ -197,19 +203,18 @@ class ToxicityModel:
         return sigmoid(_summary(odds, first) @ self.calibration[:2] + self.calibration[2])
 
     def odds(self, t: Tokens) -> np.ndarray:
-        emission = self.theta[t.cells].sum(1) + self.bias
-        return marginals(emission, t.chain_start, t.chain_length, self.moves)[0]
+        return marginals(emissions(self.theta, t.cells, self.bias), t.chain_start, t.chain_length, self.moves)[0]
 
 
 def fit_documents(rows: list[np.ndarray], labels: np.ndarray, class_sizes: tuple[int, int]) -> ToxicityModel:
     first = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
     table = np.concatenate(rows) if rows else np.zeros((0, TEMPLATES + 1), np.int32)
-    cells, start = table[:, :TEMPLATES], np.flatnonzero(table[:, TEMPLATES])
+    cells, start = np.ascontiguousarray(table[:, :TEMPLATES].T), np.flatnonzero(table[:, TEMPLATES])
     length = np.diff(np.append(start, len(table)))
     y = _toxic_words(cells, np.repeat(labels == 1, np.diff(first)))
     theta, moves, bias = fit_chain(cells, start, length, y)
     theta = theta.astype(np.float32)
-    odds = marginals(theta[cells].sum(1) + bias, start, length, moves)[0]
+    odds = marginals(emissions(theta, cells, bias), start, length, moves)[0]
     weight = np.where(labels == 1, class_sizes[1] / (labels == 1).sum(), class_sizes[0] / (labels == 0).sum())
     return ToxicityModel(theta, moves, bias, logistic_fit(_summary(odds, first), labels.astype(float), weight))
 
