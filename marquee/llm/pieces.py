@@ -218,7 +218,7 @@ class Encoder:
             at = np.searchsorted(self.keys, distinct)
         at = at[inverse[order]]
         start, length = self.start[at], self.length[at]
-        per_text = np.bincount(text, length, minlength=len(words.first) - 1).astype(np.int64)
+        per_text = np.bincount(text[order], length, minlength=len(words.first) - 1).astype(np.int64)
         return _gather(self.pool, start, length), np.concatenate(([0], np.cumsum(per_text)))
 
 

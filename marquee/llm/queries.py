@@ -6,13 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.jaccard_join import jaccard_components
+from marquee.llm.pieces import encode_texts
 from marquee.llm.quality import fit_quality, score_quality
+from marquee.llm.sharding import assign_shards
 from marquee.llm.token_counts import count_tokens
 from marquee.llm.toxicity import fit_toxicity, score_toxicity
+from marquee.llm.url_filter import judge_urls
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
+# Fixed rules of the URL query: verdict, then host and path.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,6 +39,10 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, threshold=85)
 
 
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -36,14 +53,25 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(table(spark, sf_dir, "documents"), piece_model())
+
+
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), piece_model())
 
 
 QUERIES = {
     "op3_jaccard_join": jaccard_join,
+    "op5_url_filter": url_filter,
     "op6_toxicity": toxicity,
     "op7_quality": quality,
+    "op8_pieces": pieces,
+    "op9_sharding": sharding,
     "op10_token_counts": token_counts,
 }
 
