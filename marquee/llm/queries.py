@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.jaccard_join import jaccard_components
+from marquee.llm.personal_data import personal_data
 from marquee.llm.pieces import encode_texts
 from marquee.llm.quality import fit_quality, score_quality
 from marquee.llm.sharding import assign_shards
@@ -39,6 +40,10 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, threshold=85)
 
 
+def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -67,6 +72,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_jaccard_join": jaccard_join,
+    "op4_personal_data": personal,
     "op5_url_filter": url_filter,
     "op6_toxicity": toxicity,
     "op7_quality": quality,
