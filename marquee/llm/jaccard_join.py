@@ -17,7 +17,8 @@ decides how many false candidates there are. Candidates are verified exactly.
 Inside a group of documents with a common key, no list of all pairs is made. First every
 member is verified against the member with the fewest rare tokens (the least edited copy);
 linked members form components. Only pairs of different components are looked at after
-that, in blocks, behind a bitmap that bounds the overlap from above.
+that, in blocks, behind a bitmap that bounds the overlap from above: in two rounds the
+likeliest pair of each two components, at last all that are still in different ones.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ WORDS, THRESHOLD = 5, 80  # words of a shingle; least similarity in percent
 LEAST_FREQUENT = 48  # a token in fewer documents is rare
 FREQUENT_TOKENS = 1 << 21  # at most so many frequent tokens; each takes 8 bytes of a broadcast
 GROUPS = np.uint64(256)  # hash groups of frequent tokens, within which pairs are made
+LIKELIEST_ROUNDS = 2
 BLOCK = 2048  # members of one key compared in one task
 SKETCH_WORDS = 8  # 64-bit words of a set's parity bitmap
 NODES_MB = 64
@@ -293,8 +295,13 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, thr
     return joined.mapInArrow(overlap, "a long, b long").distinct()
 
 
-def _open_pairs(members: DataFrame, joined: DataFrame, nodes: DataFrame, threshold: int, ranges: int) -> DataFrame:
-    """Pairs (a, b) with a common key whose sets are in different components and may be linked."""
+def _open_pairs(
+    members: DataFrame, joined: DataFrame, nodes: DataFrame, threshold: int, ranges: int, likeliest: bool
+) -> DataFrame:
+    """Pairs (a, b) with a common key whose sets are in different components and may be linked.
+
+    All such pairs, or of each two components the pair whose bitmaps differ least.
+    """
     placed = members.select("key", "fp").join(joined.withColumnRenamed("node", "fp"), "fp", "left").select(
         "key", "fp", F.coalesce("component", "fp").alias("component")
     )
@@ -321,7 +328,7 @@ def _open_pairs(members: DataFrame, joined: DataFrame, nodes: DataFrame, thresho
         order = np.lexsort((col["n_shingles"], col["key"]))
         col, bits = {c: v[order] for c, v in col.items()}, bits[order]
         begin = np.flatnonzero(np.concatenate(([True], col["key"][1:] != col["key"][:-1])))
-        found = [np.zeros((0, 2), np.int64)]
+        found = [np.zeros((0, 5), np.int64)]
         for s, e in zip(begin, np.append(begin[1:], len(order))):
             n, own, block, fp = (col[c][s:e] for c in ("n_shingles", "component", "block", "fp"))
             for i in range(e - s - 1):
@@ -333,13 +340,29 @@ def _open_pairs(members: DataFrame, joined: DataFrame, nodes: DataFrame, thresho
                 fits = (own[i + 1 : end] != own[i]) & ((100 + threshold) * differing <= (100 - threshold) * (n[i] + n[i + 1 : end]))
                 if low != high:
                     fits &= block[i + 1 : end] != block[i]
-                hit = np.flatnonzero(fits) + i + 1
+                hit = np.flatnonzero(fits)
+                if likeliest and len(hit):
+                    hit = hit[np.argsort(differing[hit], kind="stable")]
+                    hit = hit[np.unique(own[i + 1 + hit], return_index=True)[1]]
                 if len(hit):
-                    found.append(np.sort(np.column_stack((np.full(len(hit), fp[i]), fp[hit])), axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": np.ascontiguousarray(pairs[:, 0]), "b": np.ascontiguousarray(pairs[:, 1])})
-
-    return rows.groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+                    at = hit + i + 1
+                    pair = np.sort(np.column_stack((np.full(len(at), fp[i]), fp[at])), axis=1)
+                    both = np.sort(np.column_stack((np.full(len(at), own[i]), own[at])), axis=1)
+                    # Parts per million, so that large and small sets compare.
+                    found.append(np.column_stack((pair, both, 1_000_000 * differing[hit] // (n[i] + n[at]))))
+        pairs = np.concatenate(found)
+        if likeliest:
+            pairs = pairs[np.lexsort((pairs[:, 4], pairs[:, 3], pairs[:, 2]))]
+            pairs = pairs[np.unique(pairs[:, 2:4], axis=0, return_index=True)[1]] if len(pairs) else pairs
+        else:
+            pairs = np.unique(pairs, axis=0)
+        return pa.table({c: np.ascontiguousarray(pairs[:, k]) for k, c in enumerate(("a", "b", "own_a", "own_b", "parts"))})
+
+    found = rows.groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long, own_a long, own_b long, parts long")
+    if not likeliest:
+        return found.select("a", "b").distinct()
+    best = found.groupBy("own_a", "own_b").agg(F.min(F.struct("parts", "a", "b")).alias("best"))
+    return best.select("best.a", "best.b")
 
 
 def jaccard_components(
@@ -381,9 +404,11 @@ def jaccard_components(
     )
     links = verified(first, nodes, own, words, threshold).checkpoint()
     joined = components(links)
-    more = verified(_open_pairs(members, joined, nodes, threshold, ranges), nodes, own, words, threshold).checkpoint()
-    if not more.isEmpty():
-        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    for turn in range(LIKELIEST_ROUNDS + 1):
+        pairs = _open_pairs(members, joined, nodes, threshold, ranges, turn < LIKELIEST_ROUNDS)
+        more = verified(pairs, nodes, own, words, threshold).checkpoint()
+        if not more.isEmpty():
+            joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     members_of = nodes.select("fp", "rep").join(joined.withColumnRenamed("node", "fp"), "fp", "left")
     members_of = members_of.select("fp", "rep", F.coalesce("component", "fp").alias("component"))
     smallest = members_of.groupBy("component").agg(F.min("rep").alias("component_id"))
