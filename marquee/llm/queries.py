@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.llm.cover_tree import near_duplicates
 from marquee.llm.jaccard_join import jaccard_components
 from marquee.llm.personal_data import personal_data
 from marquee.llm.pieces import encode_texts
@@ -36,6 +37,10 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, threshold=85)
 
@@ -71,6 +76,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_embedding_duplicates": embedding_duplicates,
     "op3_jaccard_join": jaccard_join,
     "op4_personal_data": personal,
     "op5_url_filter": url_filter,
@@ -84,6 +90,26 @@ QUERIES = {
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SQL = {
+    "op2_embedding_duplicates": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        ), usable AS (
+            SELECT vec_id, v FROM vectors
+            WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(v, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id <> y.vec_id
+            WHERE len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.95
+        ), reached AS (
+            SELECT vec_id AS a, vec_id AS b FROM vectors
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        ), smallest AS (
+            SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a
+        )
+        SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = s.vec_id) AS n_links, component_id,
+               component_id = vec_id AS kept
+        FROM smallest s""",
     "op3_jaccard_join": rf"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(
