@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.cover_tree import near_duplicates
+from marquee.llm.decontamination import leaked_passages
 from marquee.llm.jaccard_join import jaccard_components
 from marquee.llm.personal_data import personal_data
 from marquee.llm.pieces import encode_texts
@@ -37,6 +38,10 @@ def piece_model() -> bytes:
         return file.read()
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -76,6 +81,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": decontamination,
     "op2_embedding_duplicates": embedding_duplicates,
     "op3_jaccard_join": jaccard_join,
     "op4_personal_data": personal,
@@ -90,6 +96,7 @@ QUERIES = {
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SQL = {
+    "op1_decontamination": decontamination,
     "op2_embedding_duplicates": """
         WITH RECURSIVE vectors AS (
             SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
