@@ -21,24 +21,32 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.words import split, text_slices, word_slices
+from marquee.llm.words import AS_IS, BLANKS, word_slices
 from marquee.operators.sizing import broadcast_if_small
 from marquee.session import enable_checkpoints
 
 PART_BYTES = 1 << 20  # benchmark text searched at a time; bounds vocabulary and broadcasts
 WINDOW, STRIDE = 64, 32  # words of a passage and of its blocks
-RANK, OVERSAMPLING = 160, 16
-COMMON_SHARE = 0.01  # words in more blocks than this carry no weight ...
+RANK, OVERSAMPLING = 224, 16
+COMMON_SHARE = 0.002  # words in more blocks than this carry no weight ...
 RAREST = 3  # ... unless they are among the rarest of an item
-LEAST_COSINE = 0.2
+LEAST_COSINE = 0.3
 COVERED, PARAPHRASED = 0.75, 0.5  # least share of a window's words in common order; the second needs the answer
 ANSWER_WORDS = 5  # closing words of an item that stand for its answer where none is given
 SHORT = 8  # shorter windows must stand in the passage word by word
 
 _U = np.uint64
+# Letters in lower case, ASCII punctuation as blanks: a copy stays a leak in capitals or with other marks.
+_GAPS = BLANKS.copy()
+_GAPS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def _plain_words(column: pa.Array):
+    return word_slices(pc.utf8_lower(column), _GAPS, AS_IS)
 
 
 @dataclass
@@ -61,7 +69,7 @@ class Benchmark:
 
 def _hashes(texts: list) -> list[np.ndarray]:
     result = []
-    for _, _, words in word_slices(pa.array(texts, pa.string())):
+    for _, _, words in _plain_words(pa.array(texts, pa.string())):
         h = words.hashes
         result += [h[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
     return result
@@ -111,7 +119,7 @@ def block_frequencies(texts: DataFrame, bench: Benchmark) -> tuple[np.ndarray, i
     def count(batches):
         bench, total = shared.value, np.zeros(n + 1, np.int64)
         for batch in batches:
-            for _, _, words in word_slices(batch.column(0)):
+            for _, _, words in _plain_words(batch.column(0)):
                 _, place, block, first, _ = _hits(bench, words)
                 distinct = np.unique(block * np.int64(n) + place)
                 total[:n] += np.bincount(distinct % n, minlength=n)
@@ -138,8 +146,12 @@ def _passages(block: np.ndarray, values: np.ndarray, first: np.ndarray, text_of_
     return joined
 
 
-def latent_directions(texts: DataFrame, bench: Benchmark, weight: np.ndarray) -> np.ndarray:
-    """(vocabulary, rank) right singular directions of the TF-IDF matrix of all passages."""
+def latent_directions(texts: DataFrame, bench: Benchmark, weight: np.ndarray, frequency: np.ndarray) -> np.ndarray:
+    """(vocabulary, rank) right singular directions of the TF-IDF matrix of all passages.
+
+    The benchmark's windows are rows of it too, scaled to half of its energy; else an item
+    that few documents hold would have no direction of its own among frequent words.
+    """
     n = len(weight)
     rank = min(RANK + OVERSAMPLING, n)
     random = np.random.default_rng(5).standard_normal((n, rank)).astype(np.float32)
@@ -149,7 +161,7 @@ def latent_directions(texts: DataFrame, bench: Benchmark, weight: np.ndarray) ->
         bench, weight, random = shared.value
         scaled, product = random * weight[:, None], np.zeros((n, rank), np.float32)
         for batch in batches:
-            for _, _, words in word_slices(batch.column(0)):
+            for _, _, words in _plain_words(batch.column(0)):
                 _, place, block, first, text_of_block = _hits(bench, words)
                 heavy = weight[place] > 0
                 place, block = place[heavy], block[heavy]
@@ -185,6 +197,11 @@ def latent_directions(texts: DataFrame, bench: Benchmark, weight: np.ndarray) ->
     product = np.zeros((-(-n // 512) * 512, rank))
     for row in parts.collect():  # vocabulary times rank numbers: PART_BYTES of benchmark bound them
         product[row.low : row.low + 512] = np.frombuffer(row.sums, np.float32).reshape(512, rank)
+    places = [np.searchsorted(bench.vocabulary, own) for own in bench.windows]
+    energy = 2 * (frequency * weight**2).sum()  # a word of a block stands in two passages
+    scale = max(energy, 1) / sum((np.bincount(p, minlength=n)[p] * weight[p] ** 2).sum() for p in places)
+    for p in places:
+        np.add.at(product, p, scale * weight[p, None] * (weight[p] @ random[p])[None, :])
     left, _, _ = np.linalg.svd(product[:n], full_matrices=False)
     return np.ascontiguousarray(left[:, : min(RANK, rank)])
 
@@ -267,7 +284,7 @@ def _search(docs: DataFrame, rows: list[tuple], item_kind: str) -> DataFrame | N
         place = np.searchsorted(bench.vocabulary, np.unique(own))
         informative[place[np.argsort(frequency[place], kind="stable")[:RAREST]]] = True
     weight = np.where(informative, weight, 0)
-    directions = latent_directions(texts, bench, weight)
+    directions = latent_directions(texts, bench, weight, frequency)
     latent = np.zeros((len(bench.windows), directions.shape[1]))
     for k, own in enumerate(bench.windows):
         place = np.searchsorted(bench.vocabulary, own)
@@ -283,8 +300,7 @@ def _search(docs: DataFrame, rows: list[tuple], item_kind: str) -> DataFrame | N
         bench, weight, directions, latent = shared.value
         for batch in batches:
             found = []
-            for low, _, data, bounds in text_slices(batch.column(1)):
-                words = split(data, bounds)
+            for low, _, words in _plain_words(batch.column(1)):
                 for text, window, share, cosine, answered in _leaks(bench, weight, directions, latent, words, LEAST_COSINE):
                     found.append((low + text, window, share, cosine, answered))
             at = [f[0] for f in found]
