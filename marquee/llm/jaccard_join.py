@@ -422,3 +422,24 @@ def jaccard_components(
         )
         .withColumnRenamed("doc_id", id_col)
     )
+
+
+def drop_near_copies(
+    docs: DataFrame, *, words: int = WORDS, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The row of the smallest id of each component, all columns kept.
+
+    Of rows with equal id and text one stays. Rows without id, text or words stay. Texts
+    are not shuffled but for those of repeated ids: the ids that go are joined by
+    broadcast where their measured size allows.
+    """
+    found = jaccard_components(docs, words=words, threshold=threshold, id_col=id_col, text_col=text_col)
+    found = found.filter(F.col(id_col).isNotNull()).checkpoint()
+    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
+    kept = docs.join(broadcast_if_small(gone), F.col(id_col) == F.col("__gone"), "left_anti")
+    again = found.groupBy(F.col(id_col).alias("__again")).count().filter("count > 1").select("__again").checkpoint()
+    if again.isEmpty():
+        return kept
+    again = broadcast_if_small(again)
+    repeated = kept.join(again, F.col(id_col) == F.col("__again"), "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, F.col(id_col) == F.col("__again"), "left_anti").unionByName(repeated)

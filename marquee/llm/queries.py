@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +92,7 @@ QUERIES = {
     "op8_pieces": pieces,
     "op9_sharding": sharding,
     "op10_token_counts": token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

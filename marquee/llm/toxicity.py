@@ -294,3 +294,21 @@ def score_toxicity(
         "n_spans",
         "spans",
     )
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows whose score is below the threshold, with all columns as they are; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            scores = np.full(batch.num_rows, model.constant)
+            if model.theta is not None:
+                for low, high, data, bounds in text_slices(batch.column(place)):
+                    t = tokens(data, bounds)
+                    scores[low:high] = model.score(model.odds(t), t.first)
+            yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
