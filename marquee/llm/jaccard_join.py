@@ -17,8 +17,8 @@ decides how many false candidates there are. Candidates are verified exactly.
 Inside a group of documents with a common key, no list of all pairs is made. First every
 member is verified against the member with the fewest rare tokens (the least edited copy);
 linked members form components. Only pairs of different components are looked at after
-that, in blocks, behind a bitmap that bounds the overlap from above: in two rounds the
-likeliest pair of each two components, at last all that are still in different ones.
+that, in blocks, behind a bitmap that bounds the overlap from above: first the
+likeliest pair of each two components, then all that are still in different ones.
 """
 
 from __future__ import annotations
@@ -36,10 +36,10 @@ from marquee.operators.sizing import broadcast_if_small
 from marquee.session import enable_checkpoints
 
 WORDS, THRESHOLD = 5, 80  # words of a shingle; least similarity in percent
-LEAST_FREQUENT = 48  # a token in fewer documents is rare
+LEAST_FREQUENT = 4  # a token in fewer documents is rare; doubled until the frequent ones fit the broadcast
 FREQUENT_TOKENS = 1 << 21  # at most so many frequent tokens; each takes 8 bytes of a broadcast
 GROUPS = np.uint64(256)  # hash groups of frequent tokens, within which pairs are made
-LIKELIEST_ROUNDS = 2
+LIKELIEST_ROUNDS = 1
 BLOCK = 2048  # members of one key compared in one task
 SKETCH_WORDS = 8  # 64-bit words of a set's parity bitmap
 NODES_MB = 64
@@ -106,8 +106,11 @@ def document_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(describe, f"doc_id {kind}, {columns}")
 
 
-def frequent_tokens(texts: DataFrame, size: int, ranges: int, least: int) -> np.ndarray:
-    """Sorted 40-bit heads of the tokens that stand in ``least`` documents or more.
+def frequent_tokens(texts: DataFrame, size: int, ranges: int) -> np.ndarray:
+    """Sorted 40-bit heads of the tokens that stand in many documents, FREQUENT_TOKENS at most.
+
+    The least number of documents is the smallest of LEAST_FREQUENT times a power of two
+    for which the tokens do not exceed the bound.
 
     Tasks send sorted token heads by range as compact blobs; each range is counted by
     itself. Copies within a slice of texts count once.
@@ -136,11 +139,20 @@ def frequent_tokens(texts: DataFrame, size: int, ranges: int, least: int) -> np.
     def count(table: pa.Table) -> pa.Table:
         heads = np.sort(np.concatenate([_unplaned(b, 5) for b in table["heads"].to_pylist()]))
         begin = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
-        often = np.diff(np.append(begin, len(heads))) >= least
-        return pa.table({"head": heads[begin[often]].view(np.int64)})
+        times = np.diff(np.append(begin, len(heads)))
+        often = times >= LEAST_FREQUENT
+        return pa.table({"head": heads[begin[often]].view(np.int64), "times": times[often]})
 
     sent = texts.mapInArrow(send, "range int, heads binary")
-    found = sent.groupBy("range").applyInArrow(count, "head long").toArrow()
+    counted = sent.groupBy("range").applyInArrow(count, "head long, times long").checkpoint()
+    steps = counted.groupBy(F.floor(F.log2(F.col("times") / LEAST_FREQUENT)).alias("step")).count().collect()
+    held, least = sum(row["count"] for row in steps), LEAST_FREQUENT
+    for row in sorted(steps, key=lambda row: row["step"]):
+        if held <= FREQUENT_TOKENS:
+            break
+        held -= row["count"]
+        least = LEAST_FREQUENT << (row["step"] + 1)
+    found = counted.filter(F.col("times") >= least).select("head").toArrow()
     return np.sort(found["head"].to_numpy()).view(np.uint64)
 
 
@@ -386,15 +398,13 @@ def jaccard_components(
     own = docs.filter(F.col("doc_id").isNotNull())
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = document_sets(docs, words).checkpoint()
-    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     nodes = (
         sets.filter(F.col("fp").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("fp")
         .agg(F.min("doc_id").alias("rep"), *(F.min(c).alias(c) for c in ["n_shingles", *_SKETCH]))
     )
-    least = max(LEAST_FREQUENT, -(-total // FREQUENT_TOKENS))
     texts = own.select("text")
-    members = shared_keys(texts, frequent_tokens(texts, words, ranges, least), words, threshold, ranges).checkpoint()
+    members = shared_keys(texts, frequent_tokens(texts, words, ranges), words, threshold, ranges).checkpoint()
 
     first = (
         members.filter("fp != leader")
