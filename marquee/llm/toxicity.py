@@ -27,7 +27,7 @@ SAMPLE_PER_CLASS = 2560  # labelled documents of each class that the model is fi
 CELLS = 1 << 20
 PREFIXES = (4, 5, 6)
 TEMPLATES = 1 + len(PREFIXES)
-CONTEXT_SHARE, LEAST_CONTEXTS, CLEAN_RATIO = 0.004, 3, 30.0
+CONTEXT_SHARE, LEAST_CONTEXTS, CLEAN_RATIO = 0.02, 4, 30.0
 ROUNDS, RATE, RIDGE = 40, 0.5, 1e-5
 
 _PUNCTUATION = np.zeros(256, bool)
@@ -105,8 +105,8 @@ def marginals(emission: np.ndarray, start: np.ndarray, length: np.ndarray, moves
     return forward + backward, forward, backward
 
 
-def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray) -> np.ndarray:
-    """Distant labels of training words."""
+def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray, documents: int) -> np.ndarray:
+    """Distant labels of training words, of which ``toxic_doc`` stand in the given number of toxic documents."""
     left = np.concatenate(([0], cells[0, :-1])).astype(np.int64)
     marked = np.zeros(cells.shape[1], bool)
     n_toxic, n_clean = max(toxic_doc.sum(), 1), max((~toxic_doc).sum(), 1)
@@ -114,8 +114,8 @@ def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray) -> np.ndarray:
     for k in range(TEMPLATES):
         pairs = np.unique((cells[k, toxic_doc].astype(np.int64) << 20) | left[toxic_doc])
         contexts[k] = np.bincount(pairs >> 20, minlength=CELLS)
-    # A toxic form may stand once in a document; forms that copies repeat have few contexts.
-    least = max(LEAST_CONTEXTS, CONTEXT_SHARE * max((c.max(initial=0) for c in contexts.values()), default=0))
+    # Contexts are distinct words to the left: forms that copies of a text repeat have few.
+    least = max(LEAST_CONTEXTS, CONTEXT_SHARE * documents)
     for k in range(TEMPLATES):
         toxic = np.bincount(cells[k, toxic_doc], minlength=CELLS)
         clean = np.bincount(cells[k, ~toxic_doc], minlength=CELLS)
@@ -211,7 +211,7 @@ def fit_documents(rows: list[np.ndarray], labels: np.ndarray, class_sizes: tuple
     table = np.concatenate(rows) if rows else np.zeros((0, TEMPLATES + 1), np.int32)
     cells, start = np.ascontiguousarray(table[:, :TEMPLATES].T), np.flatnonzero(table[:, TEMPLATES])
     length = np.diff(np.append(start, len(table)))
-    y = _toxic_words(cells, np.repeat(labels == 1, np.diff(first)))
+    y = _toxic_words(cells, np.repeat(labels == 1, np.diff(first)), int((labels == 1).sum()))
     theta, moves, bias = fit_chain(cells, start, length, y)
     theta = theta.astype(np.float32)
     odds = marginals(emissions(theta, cells, bias), start, length, moves)[0]
