@@ -98,7 +98,6 @@ QUERIES = {
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SQL = {
-    "op1_decontamination": decontamination,
     "op2_embedding_duplicates": """
         WITH RECURSIVE vectors AS (
             SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
