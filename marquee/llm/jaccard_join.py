@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
-from marquee.llm.words import mix, shingle_sets, word_slices
+from marquee.llm.words import give_back, mix, shingle_sets, word_slices
 from marquee.operators.sizing import broadcast_if_small
 from marquee.session import enable_checkpoints
 
@@ -135,11 +135,13 @@ def frequent_tokens(texts: DataFrame, size: int, ranges: int) -> np.ndarray:
                 yield flush()
                 held, n = [], 0
         yield flush()
+        give_back()
 
     def count(table: pa.Table) -> pa.Table:
         heads = np.sort(np.concatenate([_unplaned(b, 5) for b in table["heads"].to_pylist()]))
         begin = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
         times = np.diff(np.append(begin, len(heads)))
+        give_back()
         often = times >= LEAST_FREQUENT
         return pa.table({"head": heads[begin[often]].view(np.int64), "times": times[often]})
 
@@ -232,6 +234,7 @@ def shared_keys(texts: DataFrame, frequent: np.ndarray, size: int, threshold: in
                 yield flush()
                 held, n = [], 0
         yield flush()
+        give_back()
 
     def meet(table: pa.Table) -> pa.Table:
         parts = []
@@ -248,6 +251,7 @@ def shared_keys(texts: DataFrame, frequent: np.ndarray, size: int, threshold: in
         begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         size = np.diff(np.append(begin, len(key)))
         many, first = np.repeat(size > 1, size), np.repeat(begin, size)[np.repeat(size > 1, size)]
+        give_back()
         signed = {"key": key[many], "fp": fp[many], "n": count[many], "leader": fp[first], "rank": rare[first]}
         return pa.table({c: v.view(np.int64) for c, v in signed.items()})
 
@@ -295,11 +299,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, thr
     def overlap(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                both = np.concatenate((_unplaned(x, 6), _unplaned(y, 6)))
+            for x, y in zip(batch.column(2), batch.column(3)):  # one pair at a time as bytes
+                both = np.concatenate((_unplaned(x.as_py(), 6), _unplaned(y.as_py(), 6)))
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= threshold * (len(both) - common))
+            give_back()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     x, y = packed.select(F.col("fp").alias("a"), F.col("tokens").alias("x")), packed.select(F.col("fp").alias("b"), F.col("tokens").alias("y"))

@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.labels import held_out, labelled_sample, logistic_fit, sigmoid
-from marquee.llm.words import LOWER, mix, rolling_sums, span_hashes, split, text_slices
+from marquee.llm.words import LOWER, give_back, mix, rolling_sums, span_hashes, split, text_slices
 
-SAMPLE_PER_CLASS = 2560  # labelled documents of each class that the model is fitted on, at most
+SAMPLE_PER_CLASS = 2048  # labelled documents of each class that the model is fitted on, at most
 CELLS = 1 << 20
 PREFIXES = (4, 5, 6)
 TEMPLATES = 1 + len(PREFIXES)
@@ -236,6 +236,8 @@ def fit_toxicity(
             return pd.DataFrame({"theta": [], "rest": []})
         rows = [np.frombuffer(frame["rows"].iat[i], np.int32).reshape(-1, TEMPLATES + 1) for i in order]
         m = fit_documents(rows, y, sizes)
+        del rows
+        give_back()
         rest = np.concatenate((m.moves.ravel(), [m.bias], m.calibration))
         return pd.DataFrame({"theta": [m.theta.tobytes()], "rest": [rest.tobytes()]})
 

@@ -7,6 +7,7 @@ where that is longer), so a task's memory follows its longest text, not its batc
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,6 +98,19 @@ def split(data: np.ndarray, bounds: np.ndarray, blanks=BLANKS, fold=LOWER) -> Wo
     return Words(data, bounds, start, np.flatnonzero(ends) + 1, rolling_sums(data, fold), np.searchsorted(start, bounds))
 
 
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not the GNU library
+    _TRIM = None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives the task that needed most."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, bytes, bounds) of consecutive texts of about ``limit`` bytes; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -114,6 +128,7 @@ def text_slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
         high = min(n, max(high, low + 1))
         yield low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
+    give_back()
 
 
 def word_slices(column: pa.Array, blanks=BLANKS, fold=LOWER) -> Iterator[tuple[int, int, Words]]:
