@@ -1,6 +1,6 @@
-"""Write the ten reports over a movie repo as CSV files with stable names.
+"""Write the ten reports over a movie repo as CSV with stable names.
 
-    spark-submit marquee/jobs/analyze.py <movie repo> <output folder> [--format csv|parquet|...]
+    spark-submit marquee/jobs/analyze.py <movie repo> <output folder> [--format csv|parquet|...] [--one-file]
 """
 
 from __future__ import annotations
@@ -16,12 +16,22 @@ from marquee.sinks import export_csv
 from marquee.sources import read_table
 
 
-def run(spark: SparkSession, source: str, target: str, fmt: str = "csv") -> dict[str, list[str]]:
-    """Export every report to ``<target>/<folder>/<file>.csv``; returns the files by report."""
-    found = all_reports(read_table(spark, source, schemas.REPORT_INPUT, fmt))
+def run(
+    spark: SparkSession, source: str, target: str, fmt: str = "csv", one_file: bool = False
+) -> dict[str, list[str]]:
+    """Export every report below ``<target>/<folder>``; returns the paths by report.
+
+    Reports by title or user are folders of part files, unless ``one_file`` asks for a
+    single file each. Plots may hold line breaks, so CSV is read with them: every part
+    file of the wide table is then one task.
+    """
+    found = all_reports(read_table(spark, source, schemas.REPORT_INPUT, fmt, multi_line=True))
     return {
         name: export_csv(
-            with_published_headers(frame), f"{target}/{REPORTS[name].folder}", REPORTS[name].file
+            with_published_headers(frame),
+            f"{target}/{REPORTS[name].folder}",
+            REPORTS[name].file,
+            single_file=one_file or REPORTS[name].single_file,
         )
         for name, frame in found.items()
     }
@@ -32,9 +42,10 @@ def main() -> None:
     options.add_argument("source")
     options.add_argument("target")
     options.add_argument("--format", default="csv")
+    options.add_argument("--one-file", action="store_true", help="a single file also for titles and users")
     chosen = options.parse_args()
     spark = job_session("analyze")
-    run(spark, chosen.source, chosen.target, chosen.format)
+    run(spark, chosen.source, chosen.target, chosen.format, chosen.one_file)
     spark.stop()
 
 

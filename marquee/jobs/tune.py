@@ -7,12 +7,19 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from marquee import schemas
-from marquee.plans.tuning import TUNING_ITERATIONS, TUNING_RANKS, TUNING_REG_PARAMS, tune_report
+from marquee.plans.tuning import TUNING_ITERATIONS, TUNING_RANKS, TUNING_REG_PARAMS, TuneReport, tune_report
 from marquee.session import job_session
 from marquee.sources import read_table
 
 
+def run(spark: SparkSession, ratings: str, model: str, fmt: str = "csv", **options) -> TuneReport:
+    """Tune on the ratings at a path and save the best model; options are those of ``tune_report``."""
+    return tune_report(read_table(spark, ratings, schemas.RATINGS, fmt), model_path=model, **options)
+
+
 def main() -> None:
     options = argparse.ArgumentParser(description="Tune the recommender.")
     options.add_argument("ratings")
@@ -25,14 +32,16 @@ def main() -> None:
     options.add_argument("--parallelism", type=int, default=1)
     chosen = options.parse_args()
     spark = job_session("tune")
-    report = tune_report(
-        read_table(spark, chosen.ratings, schemas.RATINGS, chosen.format),
-        chosen.ranks,
-        chosen.reg_params,
-        chosen.max_iter,
+    report = run(
+        spark,
+        chosen.ratings,
+        chosen.model,
+        chosen.format,
+        ranks=chosen.ranks,
+        reg_params=chosen.reg_params,
+        max_iter=chosen.max_iter,
         seed=chosen.seed,
         parallelism=chosen.parallelism,
-        model_path=chosen.model,
     )
     report.tuned.metrics.show(truncate=False)
     report.summary.show(truncate=False)

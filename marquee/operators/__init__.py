@@ -11,7 +11,7 @@ from marquee.operators.filters import (
 from marquee.operators.joins import join_genome_tags, join_links, join_movie_data, join_ratings_movies
 from marquee.operators.ranking import ranked_top_k, top_k, top_k_per_group
 from marquee.operators.sizing import BROADCAST_LIMIT, broadcast_if_small
-from marquee.operators.splits import append_rows, key_split, random_split
+from marquee.operators.splits import append_rows, draw_name, key_split, random_split, split_name
 
 __all__ = [
     "BROADCAST_LIMIT",
@@ -19,6 +19,7 @@ __all__ = [
     "append_rows",
     "broadcast_if_small",
     "distinct_rows",
+    "draw_name",
     "drop_null_aggregates",
     "drop_null_keys",
     "filter_genre",
@@ -33,6 +34,7 @@ __all__ = [
     "ranked_top_k",
     "rmse",
     "search_titles",
+    "split_name",
     "top_k",
     "top_k_per_group",
     "with_listed_ids",

@@ -29,7 +29,10 @@ def rmse(
     prediction: str = "prediction",
     weight: str | None = None,
 ) -> DataFrame:
-    """One row: root mean squared error, optionally of rows that each stand for several."""
-    weight_of = F.col(weight) if weight else F.lit(1.0)
+    """One row: root mean squared error, optionally of rows that each stand for several.
+
+    Rows without a label or a prediction count on neither side of the mean.
+    """
     error = F.col(label).cast("double") - F.col(prediction).cast("double")
+    weight_of = F.when(error.isNotNull(), F.col(weight) if weight else F.lit(1.0))
     return predictions.agg(F.sqrt(F.sum(weight_of * error * error) / F.sum(weight_of)).alias("rmse"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +26,8 @@ def with_listed_ids(frame: DataFrame, ids: DataFrame, key: str = "movieid") -> D
 
 
 def without_listed_ids(frame: DataFrame, ids: DataFrame, key: str = "movieid") -> DataFrame:
-    """Rows whose key does not occur in ``ids``."""
-    return frame.join(ids.select(key), key, "left_anti")
+    """Rows with a key that does not occur in ``ids``; a null key is in no list and out of it alike."""
+    return frame.filter(F.col(key).isNotNull()).join(ids.select(key), key, "left_anti")
 
 
 def drop_null_keys(frame: DataFrame, key: str) -> DataFrame:
@@ -33,8 +36,8 @@ def drop_null_keys(frame: DataFrame, key: str) -> DataFrame:
 
 
 def drop_null_aggregates(frame: DataFrame, columns: list[str]) -> DataFrame:
-    """Keep groups for which every listed aggregate has a value."""
-    return frame.dropna("any", subset=columns)
+    """Keep groups for which every listed aggregate has a value; NaN is one."""
+    return frame.filter(reduce(and_, (F.col(c).isNotNull() for c in columns)))
 
 
 def any_rows(frame: DataFrame, name: str = "found") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.matching import genre_matches
@@ -36,23 +36,22 @@ SHELVES = {
 
 @dataclass(frozen=True)
 class AlsSettings:
-    """Model parameters; rank, iterations and regularisation default to the tuned values."""
+    """Model parameters; rank, iterations and regularisation default to the tuned values.
+
+    ``blocks`` is the number of parts of either side's factors. The start factors are drawn
+    by block, so it belongs to the model like the seed: it never follows the cluster. Take
+    about one block for every 20 million ratings, and at least as many as cores.
+    """
 
     rank: int = 50
     max_iter: int = 10
     reg_param: float = 0.01
     seed: int = 42
-    blocks: int | None = None
-
+    blocks: int = 16
 
-def estimator(spark: SparkSession, settings: AlsSettings) -> ALS:
-    """Explicit-feedback ALS that leaves out users and movies it has not seen.
 
-    Factors are cut into ``blocks`` parts on each side. The default follows the
-    cluster's cores up to a size beyond which block-to-block messages would cost
-    more than they spread.
-    """
-    blocks = settings.blocks or min(spark.sparkContext.defaultParallelism, 500)
+def estimator(settings: AlsSettings) -> ALS:
+    """Explicit-feedback ALS that leaves out users and movies it has not seen."""
     return ALS(
         userCol="userid",
         itemCol="movieid",
@@ -62,8 +61,8 @@ def estimator(spark: SparkSession, settings: AlsSettings) -> ALS:
         maxIter=settings.max_iter,
         regParam=settings.reg_param,
         seed=settings.seed,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=settings.blocks,
+        numItemBlocks=settings.blocks,
         checkpointInterval=5,
     )
 
@@ -75,17 +74,16 @@ def fit(ratings: DataFrame, settings: AlsSettings = AlsSettings(), unique_pairs:
     out: ALS would stop at the first one. ``unique_pairs`` states that the ratings already have that grain and saves the
     shuffle that restores it.
     """
-    spark = ratings.sparkSession
-    enable_checkpoints(spark)
+    enable_checkpoints(ratings.sparkSession)
     complete = ratings.dropna("any", subset=["userid", "movieid", "rating"])
-    return estimator(spark, settings).fit(complete if unique_pairs else one_rating_per_pair(complete))
+    return estimator(settings).fit(complete if unique_pairs else one_rating_per_pair(complete))
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Predictions for (userid, movieid) pairs; pairs with an unknown side drop out."""
+    """Predictions for (userid, movieid) pairs; pairs with an unknown or missing side drop out."""
     # The model narrows ids to 32 bits on its way.
     ids = {c: F.col(c).cast("bigint") for c in ("userid", "movieid")}
-    return model.transform(pairs).withColumns(ids)
+    return model.transform(pairs.dropna("any", subset=["userid", "movieid"])).withColumns(ids)
 
 
 def synthetic_ratings(ratings: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -119,24 +117,19 @@ def score_movies(model: ALSModel, userid: int, movies: DataFrame) -> DataFrame:
     return movies.select("movieid").join(scores, "movieid")
 
 
-def infer(
+def score_unseen(
     ratings: DataFrame,
     movies: DataFrame,
     keyword: str,
-    n: int = 10,
     settings: AlsSettings = AlsSettings(),
     literal: bool = False,
 ) -> DataFrame:
-    """The n*n best unseen movies for a keyword as (movieid, prediction).
+    """(movieid, prediction) of every movie that the keyword does not find, by a user who likes all it finds.
 
     The ratings passed in stay as they are. Without a hit there is nothing to learn
     a taste from: the result is empty and no model is fitted.
-
-    The short list is checkpointed in the shared folder, so the results built on it
-    share one scoring, and losing an executor afterwards does not bring the fit back.
     """
-    spark = ratings.sparkSession
-    nothing = spark.createDataFrame([], "movieid bigint, prediction float")
+    nothing = ratings.sparkSession.createDataFrame([], "movieid bigint, prediction float")
     if not keyword:
         return nothing
     seeds = search_titles(movies, keyword, literal).select("movieid")
@@ -145,7 +138,27 @@ def infer(
     userid = next_user_id(ratings).first().userid
     liked = seeds.select(F.lit(userid).alias("userid"), "movieid", F.lit(LIKED).alias("rating"))
     model = fit(append_rows(ratings, liked), settings)
-    scored = score_movies(model, userid, without_listed_ids(movies, seeds))
+    return score_movies(model, userid, without_listed_ids(movies, seeds))
+
+
+def infer(
+    ratings: DataFrame,
+    movies: DataFrame,
+    keyword: str,
+    n: int = 10,
+    settings: AlsSettings = AlsSettings(),
+    literal: bool = False,
+) -> DataFrame:
+    """The n*n best unseen movies for a keyword as (movieid, prediction).
+
+    The short list of n*n is part of the feature: shelves are filled from it, so a shelf
+    may hold fewer than n movies.
+
+    It is checkpointed in the shared folder, so the results built on it
+    share one scoring, and losing an executor afterwards does not bring the fit back.
+    """
+    enable_checkpoints(ratings.sparkSession)
+    scored = score_unseen(ratings, movies, keyword, settings, literal)
     return top_k(scored, n * n, "prediction").checkpoint()
 
 

@@ -108,13 +108,17 @@ PUBLISHED_HEADERS = {
 
 @dataclass(frozen=True)
 class Report:
-    """A grouping key, its aggregates and the file the export writes."""
+    """A grouping key, its aggregates and what the export writes: one file, or a folder of parts.
+
+    Reports by an attribute are one file; those by title or user grow with the data.
+    """
 
     key: str
     aggregates: dict[str, str]
     folder: str
     file: str
     complete_groups_only: bool = False
+    single_file: bool = True
 
 
 # Folder and file names of the exports are fixed values.
@@ -126,8 +130,8 @@ REPORTS = {
         "production",
         complete_groups_only=True,
     ),
-    "profile_movies": Report("title", _PROFILE, "movies", "movies_final", complete_groups_only=True),
-    "profile_users": Report("userid", _USER_PROFILE, "users", "users", complete_groups_only=True),
+    "profile_movies": Report("title", _PROFILE, "movies", "movies_final", complete_groups_only=True, single_file=False),
+    "profile_users": Report("userid", _USER_PROFILE, "users", "users", complete_groups_only=True, single_file=False),
     "count_by_genre": Report("genres", {"title_count": _count("title")}, "genre", "genre-movie"),
     "count_by_language": Report("language", {"title_count": _count("title")}, "lang", "lang-movie"),
     "count_by_vote": Report("vote_average", {"title_count": _count("title")}, "vote", "vote-movie"),

@@ -12,7 +12,7 @@ from marquee.registry import reports as report_queries
 from marquee.registry.domain import single, single_sql, with_tables
 from marquee.session import scratch_path
 from marquee.sinks import export_csv, write_csv, write_table
-from marquee.sources import read_csv_by_name, scan_csv, split_text_ratings
+from marquee.sources import read_csv_by_name, read_table, scan_csv, split_text_ratings
 
 
 def _ratings_csv(spark: SparkSession, sf: str) -> str:
@@ -73,6 +73,29 @@ def single_csv(spark: SparkSession, sf: str) -> DataFrame:
     return scan_csv(spark, written, "genres string, title bigint")
 
 
+def parts_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A report that grows with the users, as a folder of part files under its published name."""
+    name = "profile_users"
+    report = reports.REPORTS[name]
+    frame = report_queries.build(name, spark, sf).select("userid", "latest_release_year")
+    folder = f"{scratch_path(spark, 'export')}/{report.folder}"
+    written = export_csv(frame, folder, report.file, single_file=report.single_file)
+    return scan_csv(spark, written, "userid bigint, latest_release_year string")
+
+
+_BROKEN_PLOT = 'line one\nsaid "two", three'
+
+
+def csv_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Report counts over a wide CSV whose plots hold line breaks, quotes and commas."""
+    path = scratch_path(spark, "broken-plots")
+    write_csv(domain.repo(spark, sf).withColumn("plot", F.lit(_BROKEN_PLOT)), path)
+    wide = read_table(spark, path, schemas.REPORT_INPUT, multi_line=True)
+    return wide.groupBy("genres").agg(
+        F.count("title").alias("titles"), F.count(F.lit(1)).alias("ratings"), F.max("userid").alias("last_userid")
+    )
+
+
 def table_sink(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "movie-repo")
     write_table(domain.repo(spark, sf), path)
@@ -88,10 +111,17 @@ def tag_table_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def saved_recommendations(spark: SparkSession, sf: str) -> DataFrame:
+    """Saved shelves that differ from those computed, either way; and whether there are any."""
     path = scratch_path(spark, "shelves-csv")
-    shelves = recommendation.shelves(spark, sf)
-    write_csv(shelves, path)
-    return scan_csv(spark, path, shelves.schema)
+    shelves = recommendation.shelves(spark, sf).checkpoint()
+    write_csv(shelves, path, keep_blanks=True)
+    saved = scan_csv(spark, path, shelves.schema)
+    problems = {
+        "lost": shelves.exceptAll(saved).count(),
+        "strange": saved.exceptAll(shelves).count(),
+        "none": int(saved.isEmpty()),
+    }
+    return spark.createDataFrame(list(problems.items()), "problem string, cases bigint")
 
 
 def reports_from_wide_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,6 +151,8 @@ QUERIES = {
     "scan_text_split": split_lines,
     "sink_csv_dir": csv_folder,
     "sink_csv_single": single_csv,
+    "sink_csv_parts": parts_csv,
+    "scan_csv_line_breaks": csv_line_breaks,
     "sink_table": table_sink,
     "sink_tag_table": tag_table_sink,
     "sink_recommendations": saved_recommendations,
@@ -171,6 +203,20 @@ SQL = {
         "movie_repo",
         "SELECT genres, count(title) AS title FROM movie_repo WHERE genres IS NOT NULL GROUP BY genres",
     ),
+    "sink_csv_parts": with_tables(
+        "movie_repo",
+        """
+        SELECT userid, max(release_year) AS latest_release_year FROM movie_repo
+        WHERE userid IS NOT NULL GROUP BY userid HAVING max(release_year) IS NOT NULL""",
+    ),
+    "scan_csv_line_breaks": with_tables(
+        "movie_repo",
+        """
+        SELECT genres, count(title) AS titles, count(*) AS ratings, max(userid) AS last_userid
+        FROM movie_repo GROUP BY genres""",
+    ),
+    "sink_recommendations": """
+        SELECT problem, CAST(0 AS BIGINT) AS cases FROM (VALUES ('lost'), ('strange'), ('none')) AS t(problem)""",
     "sink_table": with_tables("movie_repo", "SELECT * FROM movie_repo"),
     "sink_tag_table": with_tables(
         "genome_scores genome_tags",

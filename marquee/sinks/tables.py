@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 def write_table(
     frame: DataFrame,
-    target: str,
+    target: str | None,
     *,
     fmt: str = "parquet",
     mode: str = "errorifexists",
@@ -15,7 +15,7 @@ def write_table(
     catalog: bool = False,
     bucket_by: tuple[int, str] | None = None,
 ) -> None:
-    """Write to a path, or to a catalog table when ``catalog`` is set.
+    """Write to a path, or to a catalog table when ``catalog`` is set; without target by options alone.
 
     Connector settings (table, keyspace, ...) go in ``options``. A bucketed catalog
     table lets later joins on the bucket column skip their shuffle.
@@ -27,4 +27,4 @@ def write_table(
     if catalog or bucket_by:
         writer.saveAsTable(target)
     else:
-        writer.save(target)
+        writer.save(target) if target else writer.save()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marquee.operators import (
     any_rows,
     append_rows,
+    drop_null_aggregates,
     key_split,
     next_user_id,
     one_rating_per_pair,
@@ -113,3 +114,34 @@ def test_broadcast_only_below_the_measured_size(spark):
     assert hinted in broadcast_if_small(frame, size)._jdf.queryExecution().analyzed().toString()
     assert hinted not in broadcast_if_small(frame, size - 1)._jdf.queryExecution().analyzed().toString()
     assert stored_bytes(frame.limit(0)) == 0
+
+
+def test_nan_groups_are_values(spark):
+    frame = spark.createDataFrame([("a", float("nan")), ("b", 1.0), ("c", None)], "g string, m double")
+    assert {r.g for r in drop_null_aggregates(frame, ["m"]).collect()} == {"a", "b"}
+
+
+def test_null_keys_are_in_no_list(spark):
+    frame = spark.createDataFrame([(1, "x"), (None, "y"), (2, "z")], "movieid long, t string")
+    ids = spark.createDataFrame([(1,), (None,)], "movieid long")
+    assert [r.t for r in without_listed_ids(frame, ids).collect()] == ["z"]
+
+
+def test_rmse_leaves_missing_labels_out(spark):
+    frame = spark.createDataFrame([(1.0, 2.0, 1), (None, 2.0, 3), (3.0, None, 2)], "rating double, prediction double, w int")
+    assert rmse(frame).first().rmse == 1.0 and rmse(frame, weight="w").first().rmse == 1.0
+
+
+def test_many_per_group(spark):
+    frame = spark.range(5000).select(F.lit("g").alias("g"), F.col("id").alias("movieid"), (F.col("id") % 7).alias("s"))
+    found = top_k_per_group(frame, 1001, "g", "s").orderBy("rank").collect()
+    want = sorted(((i % 7, i) for i in range(5000)), key=lambda p: (-p[0], p[1]))[:1001]
+    assert [(r.s, r.movieid) for r in found] == want and [r["rank"] for r in found] == list(range(1, 1002))
+
+
+def test_measured_bytes_see_every_type(spark):
+    frame = spark.range(10).select(
+        F.sequence(F.lit(1), F.lit(20000)).alias("a"), F.create_map(F.lit("k"), F.repeat(F.lit("v"), 9000)).alias("m"),
+        F.struct(F.repeat(F.lit("x"), 7000).alias("f")).alias("s"), F.repeat(F.lit("b"), 5000).cast("binary").alias("b"),
+    )
+    assert stored_bytes(frame) > 10 * (20000 * 4 + 9000 + 7000 + 5000)

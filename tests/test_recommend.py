@@ -71,8 +71,9 @@ def test_inference_contract(ratings, movies, scored):
     seeds = {r.movieid for r in search_titles(movies, KEYWORD).collect()}
     assert len(found) == 100 and len({r.movieid for r in found}) == 100
     assert not {r.movieid for r in found} & seeds
-    before = ratings.count()
-    assert ratings.count() == before  # the given ratings gain no user
+    given = [r for r in ratings.agg(F.max("userid"), F.count(F.lit(1))).collect()]
+    recommend.infer(ratings, movies, KEYWORD, 2, SMALL)
+    assert ratings.agg(F.max("userid"), F.count(F.lit(1))).collect() == given  # they gain no user
     worst = min(r.prediction for r in found)
     rest = recommend.infer(ratings, movies, KEYWORD, 1000, SMALL).filter(F.col("prediction") > worst)
     assert rest.count() == sum(r.prediction > worst for r in found)
@@ -146,3 +147,22 @@ def test_fit_treats_repeats_as_their_average(spark):
     assert factors[0].keys() == factors[1].keys()
     for key in factors[0]:
         assert factors[0][key] == pytest.approx(factors[1][key], rel=1e-3, abs=1e-4)
+
+
+def test_blocks_are_a_setting_not_the_cluster(monkeypatch):
+    """Start factors are drawn by block, so the number must be the same on any cluster."""
+    assert recommend.estimator(AlsSettings()).getNumUserBlocks() == AlsSettings.blocks
+    assert recommend.estimator(AlsSettings(blocks=3)).getNumItemBlocks() == 3
+
+
+def test_same_factors_for_any_parallelism(spark, ratings, conf):
+    first = recommend.fit(ratings, SMALL).itemFactors.orderBy("id").collect()
+    conf(spark__sql__shuffle__partitions="3")
+    again = recommend.fit(ratings.repartition(5), SMALL).itemFactors.orderBy("id").collect()
+    for a, b in zip(first, again, strict=True):
+        assert a.id == b.id and all(abs(x - y) < 1e-3 for x, y in zip(a.features, b.features))
+
+
+def test_pairs_without_ids_get_no_prediction(spark, model):
+    pairs = spark.createDataFrame([(None, 1), (1, None), (None, None)], "userid long, movieid long")
+    assert recommend.predict(model, pairs).count() == 0

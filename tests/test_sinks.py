@@ -39,15 +39,25 @@ def test_small_report_is_one_file_with_a_stable_name(spark, tmp_path):
     assert [p.name for p in (tmp_path / "genre").iterdir() if not p.name.endswith(".crc")] == ["genre-movie.csv"]
 
 
-def test_large_report_is_whole_in_several_files(spark, tmp_path):
-    folder = str(tmp_path / "users")
-    files = export_csv(spark.range(100), folder, "users", rows_per_file=30)
-    assert [f.rsplit("/")[-1] for f in files] == [f"users-0000{i}-of-00004.csv" for i in (1, 2, 3, 4)]
-    parts = [content(f) for f in files]
-    assert all(p[0] == ["id"] and len(p) <= 1 + 30 for p in parts)
-    assert sorted(int(r[0]) for p in parts for r in p[1:]) == list(range(100))
-    export_csv(spark.range(2), folder, "users")
-    assert [p.name for p in (tmp_path / "users").glob("*.csv")] == ["users.csv"]
+@pytest.mark.parametrize("size", [0, 1, 500])
+def test_layout_does_not_follow_the_number_of_rows(spark, tmp_path, size):
+    frame = spark.range(size).repartition(3)
+    assert export_csv(frame, str(tmp_path), "one") == [f"{tmp_path}/one.csv"]
+    assert export_csv(frame, str(tmp_path), "many", single_file=False) == [f"{tmp_path}/many"]
+    assert spark.read.csv(f"{tmp_path}/many", header=True, schema="id bigint").count() == size
+    assert {p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")} == {"one.csv", "many"}
+
+
+def test_export_replaces_its_own_report_only(spark, tmp_path):
+    folder = str(tmp_path)
+    export_csv(spark.range(7).repartition(3), folder, "production-movie", single_file=False)
+    export_csv(spark.range(4), folder, "production-by-year")
+    for size in (9, 2):
+        export_csv(spark.range(size), folder, "production")
+    export_csv(spark.range(3), folder, "production-movie", single_file=False)
+    assert len(content(f"{folder}/production.csv")) == 3
+    assert len(content(f"{folder}/production-by-year.csv")) == 5
+    assert spark.read.csv(f"{folder}/production-movie", header=True).count() == 3
 
 
 def test_empty_report(spark, tmp_path):
