@@ -220,7 +220,7 @@ def near_duplicates(
     usable = units.filter(F.col("vec").isNotNull() & F.col("vec_id").isNotNull())
     distinct = usable.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")).checkpoint()
 
-    linked, pairs = None, None
+    linked = None
     for length in [r.n for r in distinct.select(F.octet_length("vec").alias("n")).distinct().collect()]:
         found = _links(distinct.filter(F.octet_length("vec") == length), threshold).checkpoint()
         linked = found if linked is None else linked.union(found)

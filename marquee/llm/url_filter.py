@@ -131,7 +131,7 @@ def judge_urls(
     empty table gives an empty result.
     """
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).withColumns(
-        {"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}
+        {"host": host_of(F.col("url")), "path": path_of(F.col("url"))}
     )
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ruled = own.withColumns(
