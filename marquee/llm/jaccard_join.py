@@ -131,7 +131,7 @@ def frequent_tokens(texts: DataFrame, size: int, ranges: int) -> np.ndarray:
             distinct = {s.tobytes(): s for s in sets}
             held += distinct.values()
             n += sum(map(len, distinct.values()))
-            if n > 2_000_000:
+            if n > 1_000_000:
                 yield flush()
                 held, n = [], 0
         yield flush()
@@ -230,7 +230,7 @@ def shared_keys(texts: DataFrame, frequent: np.ndarray, size: int, threshold: in
                 low += len(s)
                 held.append((key, *(np.full(len(key), x, np.uint64) for x in (_fingerprint(s), len(s), rare))))
                 n += len(key)
-            if n > 1_000_000:
+            if n > 500_000:
                 yield flush()
                 held, n = [], 0
         yield flush()
