@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from marquee.llm.token_counts import PreTokens, check_separable, plain_spaces
 from marquee.llm.words import AS_IS, SPACE_ONLY, mix, word_slices
 
-CACHE_TOKENS = 8_000_000  # ids in a worker's cache of encoded words; it starts anew when full
+CACHE_TOKENS = 2_500_000  # ids in a worker's cache of encoded words; it starts anew when full
 BATCH_CELLS = 2_000_000  # entries of one batch's piece table
 UNKNOWN_SCORE = -1e4
 
