@@ -26,8 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.words import AS_IS, BLANKS, word_slices
-from marquee.operators.sizing import broadcast_if_small
-from marquee.session import enable_checkpoints
 
 PART_BYTES = 1 << 20  # benchmark text searched at a time; bounds vocabulary and broadcasts
 WINDOW, STRIDE = 64, 32  # words of a passage and of its blocks
@@ -272,11 +270,11 @@ def _leaks(bench, weight, directions, latent, words, cosine_floor):
                 yield int(text[part[i]]), int(w), float(share[i]), float(cosine[part[i]]), bool(answered[i])
 
 
-def _search(docs: DataFrame, rows: list[tuple], item_kind: str) -> DataFrame | None:
+def _prepared(texts: DataFrame, rows: list[tuple]):
+    """Broadcast (benchmark, weights, directions, latent windows) for the search of a benchmark part, None without words."""
     bench = load_benchmark(rows)
     if bench is None:
         return None
-    texts = docs.select("text")
     frequency, total = block_frequencies(texts, bench)
     weight = np.log((total + 1) / (frequency + 1)) + 1e-3
     informative = frequency <= COMMON_SHARE * max(total, 1)
@@ -292,10 +290,12 @@ def _search(docs: DataFrame, rows: list[tuple], item_kind: str) -> DataFrame | N
     size = np.sqrt((latent * latent).sum(1, keepdims=True))
     # Directions come from the documents; a window that none of them touches is in no document.
     latent = (latent / np.where(size > 0, size, 1)).astype(np.float32)
-    shared = docs.sparkSession.sparkContext.broadcast(
+    return texts.sparkSession.sparkContext.broadcast(
         (bench, weight.astype(np.float32), directions.astype(np.float32), latent)
     )
 
+
+def _search(docs: DataFrame, shared, item_kind: str) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench, weight, directions, latent = shared.value
         for batch in batches:
@@ -317,10 +317,28 @@ def _search(docs: DataFrame, rows: list[tuple], item_kind: str) -> DataFrame | N
 
     kind = dict(docs.dtypes)["doc_id"]
     found = docs.mapInArrow(search, f"doc_id {kind}, row long, window long, share double, cosine double, answered boolean")
-    windows = docs.sparkSession.createDataFrame(list(enumerate(bench.items)), f"window long, item_id {item_kind}")
+    windows = docs.sparkSession.createDataFrame(list(enumerate(shared.value[0].items)), f"window long, item_id {item_kind}")
     return found.join(F.broadcast(windows), "window")  # windows of PART_BYTES of text
 
 
+def _parts(
+    texts: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, answer_col: str | None
+) -> tuple[list, str]:
+    """What _prepared() gives for each part of the benchmark that has words, and the type of item ids."""
+    answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
+    items = benchmark.select(
+        F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"), answer.alias("answer")
+    ).dropDuplicates()
+    size = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("answer"), F.lit(0)))).first()[0] or 0
+    parts = -(-size // PART_BYTES) or 1
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    prepared = []
+    for k in range(parts):
+        rows = [tuple(r) for r in items.filter(part == k).orderBy("item_id", "text", "answer").collect()]
+        prepared.append(_prepared(texts, rows))
+    return [shared for shared in prepared if shared is not None], dict(items.dtypes)["item_id"]
+
+
 def leaked_passages(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None,
@@ -336,21 +354,9 @@ def leaked_passages(
     have no leaks, copies each have their own, rows with equal ids are reported once, null
     ids as one. Other columns are not looked at, and empty tables give an empty result.
     """
-    answer = F.col(answer_col) if answer_col else F.lit(None).cast("string")
-    items = benchmark.select(
-        F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"), answer.alias("answer")
-    ).dropDuplicates()
-    size = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("answer"), F.lit(0)))).first()[0] or 0
-    parts = -(-size // PART_BYTES) or 1
-    item_kind = dict(items.dtypes)["item_id"]
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = []
-    for k in range(parts):
-        rows = [tuple(r) for r in items.filter(part == k).orderBy("item_id", "text", "answer").collect()]
-        one = _search(own, rows, item_kind)
-        if one is not None:
-            found.append(one)
+    prepared, item_kind = _parts(own.select("text"), benchmark, item_col, item_text_col, answer_col)
+    found = [_search(own, shared, item_kind) for shared in prepared]
     if not found:
         kind = dict(own.dtypes)["doc_id"]
         return docs.sparkSession.createDataFrame(
@@ -364,12 +370,31 @@ def leaked_passages(
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents without a leak, all columns kept; documents without id stay only if their text is clean too.
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", answer_col: str | None = None, id_col: str = "doc_id",
+) -> DataFrame:
+    """The rows whose text holds no leak, all columns kept.
 
-    Ids of leaking documents are joined by hash, or broadcast where their measured size allows.
+    Every row is judged by its own text in the pass that finds the leaks, so ids do not
+    matter: they may be null or repeated, and ``id_col`` is not looked at. Nothing is
+    shuffled or joined.
     """
-    enable_checkpoints(docs.sparkSession)
-    bad = leaked_passages(docs, benchmark, id_col=id_col, **options).select(F.col(id_col).alias("__bad")).distinct()
-    bad = broadcast_if_small(bad.checkpoint())
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    width = len(docs.columns)
+    kept = docs.select("*", F.col(text_col)) if text_col not in docs.columns else docs
+    place = width if text_col not in docs.columns else docs.columns.index(text_col)
+    prepared, _ = _parts(docs.select(F.col(text_col).alias("text")), benchmark, item_col, item_text_col, answer_col)
+    if not prepared:
+        return docs
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            for shared in prepared:
+                bench, weight, directions, latent = shared.value
+                for low, _, words in _plain_words(batch.column(place)):
+                    for text, *_ in _leaks(bench, weight, directions, latent, words, LEAST_COSINE):
+                        clean[low + text] = False
+            yield batch.select(range(width)).filter(pa.array(clean))
+
+    return kept.mapInArrow(keep, docs.schema)

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
@@ -75,8 +75,14 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int, size: int):
             yield batch, low, high, shingle_sets(words, size)
 
 
+def _text_key(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("key"), F.length(text).alias("size")
+
+
 def document_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, fp, s0...): size, fingerprint and parity bitmap of each row's set.
+    """(doc_id, key, size, n_shingles, fp, s0...): size, fingerprint and parity bitmap of each row's set.
+
+    ``key`` and ``size``, hash and length of the row's text, pass through.
 
     Equal sets have equal fingerprints; a set without tokens has none. Bit i of the bitmap
     tells whether an odd number of tokens hash to i, so two sets differ in at least as many
@@ -93,17 +99,18 @@ def document_sets(docs: DataFrame, size: int) -> DataFrame:
             bits = np.packbits(marks, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(low, high - low),
+                    *(batch.column(c).slice(low, high - low) for c in (0, 2, 3)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(prints, pa.int64()),
                     *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(SKETCH_WORDS)),
                 ],
-                names=["doc_id", "n_shingles", "fp", *_SKETCH],
+                names=["doc_id", "key", "size", "n_shingles", "fp", *_SKETCH],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
     columns = ", ".join(f"{c} long" for c in ["n_shingles", "fp", *_SKETCH])
-    return docs.mapInArrow(describe, f"doc_id {kind}, {columns}")
+    given = docs.select("doc_id", "text", *_text_key(F.col("text")))
+    return given.mapInArrow(describe, f"doc_id {kind}, key long, size int, {columns}")
 
 
 def frequent_tokens(texts: DataFrame, size: int, ranges: int) -> np.ndarray:
@@ -397,6 +404,16 @@ def jaccard_components(
     takes no part in links. Other columns are not looked at; an empty table gives an empty
     result. Texts are used whole.
     """
+    placed = _placed_rows(docs, words, threshold, id_col, text_col)
+    return placed.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id")
+
+
+def _placed_rows(docs: DataFrame, words: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
+    """Rows (doc_id, key, size, n_shingles, component, component_id), one for each input row.
+
+    ``component`` names the component itself: where ids are repeated, two components may
+    have the same smallest id. It is null for sets without tokens and rows without id.
+    """
     spark = docs.sparkSession
     enable_checkpoints(spark)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -427,34 +444,49 @@ def jaccard_components(
     members_of = nodes.select("fp", "rep").join(joined.withColumnRenamed("node", "fp"), "fp", "left")
     members_of = members_of.select("fp", "rep", F.coalesce("component", "fp").alias("component"))
     smallest = members_of.groupBy("component").agg(F.min("rep").alias("component_id"))
-    labels = members_of.join(smallest, "component").select(F.col("fp"), "component_id")
-    return (
-        sets.join(labels, "fp", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        )
-        .withColumnRenamed("doc_id", id_col)
+    labels = members_of.join(smallest, "component").select("fp", "component", "component_id")
+    with_id = F.col("doc_id").isNotNull()
+    return sets.join(labels, "fp", "left").select(
+        "doc_id",
+        "key",
+        "size",
+        "n_shingles",
+        F.when(with_id, F.col("component")).alias("component"),
+        F.when(with_id, F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
 
 def drop_near_copies(
     docs: DataFrame, *, words: int = WORDS, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The row of the smallest id of each component, all columns kept.
+    """One row of the smallest id of each component, all columns kept.
 
-    Of rows with equal id and text one stays. Rows without id, text or words stay. Texts
-    are not shuffled but for those of repeated ids: the ids that go are joined by
-    broadcast where their measured size allows.
+    Rows are judged by id and text: of a repeated id only the texts that are near copies of
+    a kept row go. Of near copies with one id the text of smallest hash stays, of rows with
+    equal id and text one. Rows without id, text or words stay. Texts are not shuffled but
+    for those of repeated ids: the keys that go are joined by broadcast where their
+    measured size allows.
     """
-    found = jaccard_components(docs, words=words, threshold=threshold, id_col=id_col, text_col=text_col)
-    found = found.filter(F.col(id_col).isNotNull()).checkpoint()
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    kept = docs.join(broadcast_if_small(gone), F.col(id_col) == F.col("__gone"), "left_anti")
-    again = found.groupBy(F.col(id_col).alias("__again")).count().filter("count > 1").select("__again").checkpoint()
-    if again.isEmpty():
+    row = ["doc_id", "key", "size"]
+    found = _placed_rows(docs, words, threshold, id_col, text_col).filter(F.col("doc_id").isNotNull()).checkpoint()
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(row)
+    again = found.groupBy(F.col("doc_id").alias("__again")).count().filter("count > 1").select("__again").checkpoint()
+    repeats = not again.isEmpty()
+    if repeats:
+        again = broadcast_if_small(again)
+        rivals = (
+            found.filter((F.col("doc_id") == F.col("component_id")) & F.col("component").isNotNull())
+            .join(again, F.col("doc_id") == F.col("__again"), "left_semi")
+            .select("component", *row)
+            .distinct()
+        )
+        first = rivals.groupBy("component").agg(F.min(F.struct("key", "size")).alias("first"))
+        gone = gone.union(rivals.join(first, "component").filter(F.struct("key", "size") != F.col("first")).select(row))
+    gone = gone.distinct().withColumnsRenamed({c: f"__{c}" for c in row}).checkpoint()
+    key, size = _text_key(F.col(text_col))
+    same = (F.col(id_col) == F.col("__doc_id")) & (key == F.col("__key")) & (size == F.col("__size"))
+    kept = docs.join(broadcast_if_small(gone), same, "left_anti")
+    if not repeats:
         return kept
-    again = broadcast_if_small(again)
     repeated = kept.join(again, F.col(id_col) == F.col("__again"), "left_semi").dropDuplicates([id_col, text_col])
     return kept.join(again, F.col(id_col) == F.col("__again"), "left_anti").unionByName(repeated)

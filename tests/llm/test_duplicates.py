@@ -81,6 +81,16 @@ def test_drop_near_copies(spark):
     assert jaccard_join.drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_other_texts_of_a_repeated_id_stay(spark):
+    """An id's near copy of a smaller id goes, its other texts stay; of one id's near copies one stays."""
+    text, other, third = (" ".join(LETTERS[i : i + 60]) for i in (0, 100, 200))
+    rows = [(1, text), (5, text + " end"), (5, other), (5, other), (7, third), (7, third + " end"), (7, "a b"), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(tuple(r) for r in jaccard_join.drop_near_copies(docs).collect())
+    assert sum(r in kept for r in rows[4:6]) == 1
+    assert [r for r in kept if r not in rows[4:6]] == sorted([rows[0], rows[2], rows[6], rows[7]])
+
+
 def test_rows_without_id_and_repeated_rows(spark):
     text = " ".join(LETTERS[:30])
     docs = spark.createDataFrame([(None, text), (7, text), (7, text), (8, "other words")], "doc_id long, text string")

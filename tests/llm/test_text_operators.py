@@ -225,6 +225,17 @@ def test_paraphrases_need_the_answer(spark, sf_dir):
     assert decontamination.leaked_passages(docs.limit(0), items).count() == 0
 
 
+def test_rows_are_decontaminated_one_by_one(spark, sf_dir):
+    """Null ids and an id with a leaking and a clean text: only the leaking rows go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leak = items.first().text
+    rows = [(None, leak), (None, "clean one"), (None, None), (7, leak), (7, "clean two"), (7, "clean two"), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = decontamination.decontaminate(docs, items).collect()
+    assert sorted(map(tuple, left), key=str) == sorted((r for r in rows if r[1] != leak), key=str)
+    assert decontamination.decontaminate(docs, items.limit(0)).count() == len(rows)
+
+
 def test_common_subsequence():
     g = np.random.default_rng(4)
     regions, window = g.integers(1, 6, (40, 25)).astype(np.uint64), g.integers(1, 6, 12).astype(np.uint64)
