@@ -30,8 +30,7 @@ from marquee.llm.words import AS_IS, BLANKS, word_slices
 PART_BYTES = 1 << 20  # benchmark text searched at a time; bounds vocabulary and broadcasts
 WINDOW, STRIDE = 64, 32  # words of a passage and of its blocks
 RANK, OVERSAMPLING = 224, 16
-COMMON_SHARE = 0.002  # words in more blocks than this carry no weight ...
-RAREST = 3  # ... unless they are among the rarest of an item
+DENSE_SHARE = 0.02  # words in more blocks than this are multiplied as a dense matrix; results are the same
 LEAST_COSINE = 0.3
 COVERED, PARAPHRASED = 0.75, 0.5  # least share of a window's words in common order; the second needs the answer
 ANSWER_WORDS = 5  # closing words of an item that stand for its answer where none is given
@@ -56,6 +55,7 @@ class Benchmark:
     answers: list[np.ndarray]
     vocabulary: np.ndarray  # sorted
     flags: np.ndarray  # which leading 20 bits any vocabulary word has
+    dense: np.ndarray  # places of the words that stand in many blocks
 
     def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions of vocabulary words among the hashes, their places in the vocabulary)."""
@@ -91,7 +91,7 @@ def load_benchmark(rows: list[tuple]) -> Benchmark | None:
     vocabulary = np.unique(np.concatenate(windows))
     flags = np.zeros(1 << 20, bool)
     flags[vocabulary >> _U(44)] = True
-    return Benchmark(items, windows, answers, vocabulary, flags)
+    return Benchmark(items, windows, answers, vocabulary, flags, np.zeros(0, np.int64))
 
 
 def _blocks(words) -> tuple[np.ndarray, np.ndarray]:
@@ -132,14 +132,55 @@ def block_frequencies(texts: DataFrame, bench: Benchmark) -> tuple[np.ndarray, i
     return total[:n], int(total[n])
 
 
-def _passages(block: np.ndarray, values: np.ndarray, first: np.ndarray, text_of_block: np.ndarray) -> np.ndarray:
-    """Sums over passages from values of hits in order of position: passage p is blocks p and p + 1 of its text."""
-    sums = np.zeros((first[-1] + 1, values.shape[1]), np.float32)
-    if len(block):
-        begin = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-        sums[block[begin]] = np.add.reduceat(values, begin)
-    joined = sums[:-1].copy()
-    inner = np.flatnonzero(text_of_block[1:] == text_of_block[:-1])
+class Hits:
+    """The vocabulary words of a range of whole blocks as a matrix of counts, blocks by vocabulary.
+
+    Frequent words are columns of a dense matrix, all others (block, place) in order of
+    block; so the cost of a word follows the blocks, not its occurrences.
+    """
+
+    def __init__(self, bench: Benchmark, block: np.ndarray, place: np.ndarray, blocks: int):
+        column = np.full(len(bench.vocabulary), -1)
+        column[bench.dense] = np.arange(len(bench.dense))
+        own = column[place]
+        often = own >= 0
+        width = len(bench.dense)
+        counts = np.bincount(block[often] * width + own[often], minlength=blocks * width)
+        self.counts = counts.reshape(blocks, width).astype(np.float32)
+        self.dense, self.blocks = bench.dense, blocks
+        self.block, self.place = block[~often], place[~often]
+
+    def times(self, values: np.ndarray) -> np.ndarray:
+        """counts @ values, of which there is one row for each vocabulary word."""
+        sums = self.counts @ values[self.dense]
+        if len(self.block):
+            begin = np.flatnonzero(np.concatenate(([True], self.block[1:] != self.block[:-1])))
+            sums[self.block[begin]] += np.add.reduceat(values[self.place], begin)
+        return sums
+
+    def add_transposed(self, rows: np.ndarray, total: np.ndarray) -> None:
+        """total += counts.T @ rows, of which there is one for each block."""
+        total[self.dense] += self.counts.T @ rows
+        if len(self.place):
+            order = np.argsort(self.place, kind="stable")
+            begin = np.flatnonzero(np.concatenate(([True], np.diff(self.place[order]) != 0)))
+            total[self.place[order][begin]] += np.add.reduceat(rows[self.block[order]], begin)
+
+
+def _pieces(bench: Benchmark, words, blocks: int = 1024) -> Iterator[tuple[int, int, int, Hits]]:
+    """(first block, end, end with the block after, hits) of pieces of a slice; bounds the memory of products."""
+    _, place, block, first, _ = _hits(bench, words)
+    for low in range(0, int(first[-1]), blocks):
+        high = min(low + blocks, int(first[-1]))
+        end = min(high + 1, int(first[-1]))
+        a, b = np.searchsorted(block, (low, end))
+        yield low, high, end, Hits(bench, block[a:b] - low, place[a:b], end - low)
+
+
+def _passages(sums: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Sums over passages from those of their blocks: passage p is blocks p and p + 1 of its text."""
+    joined = sums.copy()
+    inner = np.flatnonzero(text[1:] == text[:-1])
     joined[inner] += sums[inner + 1]
     return joined
 
@@ -160,20 +201,21 @@ def latent_directions(texts: DataFrame, bench: Benchmark, weight: np.ndarray, fr
         scaled, product = random * weight[:, None], np.zeros((n, rank), np.float32)
         for batch in batches:
             for _, _, words in _plain_words(batch.column(0)):
-                _, place, block, first, text_of_block = _hits(bench, words)
-                heavy = weight[place] > 0
-                place, block = place[heavy], block[heavy]
-                if not len(place):
-                    continue
-                passages = _passages(block, scaled[place], first, text_of_block)
-                # A word stands in the passage that begins with its block and in the one before.
-                gained = passages.copy()
-                inner = np.flatnonzero(text_of_block[1:] == text_of_block[:-1]) + 1
-                gained[inner] += passages[inner - 1]
-                order = np.argsort(place, kind="stable")
-                begin = np.flatnonzero(np.concatenate(([True], np.diff(place[order]) != 0)))
-                own = place[order][begin]
-                product[own] += weight[own, None] * np.add.reduceat(gained[block[order]], begin)
+                _, text_of_block = _blocks(words)
+                before = np.zeros(rank, np.float32)  # the passage before a piece
+                for low, high, end, hits in _pieces(bench, words):
+                    text = text_of_block[low:end]
+                    passages = _passages(hits.times(scaled), text)
+                    # A word stands in the passage that begins with its block and in the one before.
+                    gained = passages.copy()
+                    inner = np.flatnonzero(text[1:] == text[:-1]) + 1
+                    gained[inner] += passages[inner - 1]
+                    if low and text_of_block[low - 1] == text[0]:
+                        gained[0] += before
+                    gained[high - low :] = 0  # the block after belongs to the next piece
+                    before = passages[high - low - 1]
+                    hits.add_transposed(gained, product)
+        product *= weight[:, None]
         rows = np.flatnonzero(product.any(1))
         step = 512  # rows go in pieces, so that no piece of the sum is large
         for low in range(0, n, step):
@@ -228,37 +270,49 @@ def _contains(regions: np.ndarray, run: np.ndarray) -> np.ndarray:
 def _leaks(bench, weight, directions, latent, words, cosine_floor):
     """(text, window, covered share, cosine, answer found) of the leaks in a slice of texts."""
     hashes = words.hashes
-    _, place, block, first, text_of_block = _hits(bench, words)
-    heavy = weight[place] > 0
-    place, block = place[heavy], block[heavy]
-    if not len(place):
-        return
-    live = np.unique(block)
-    live = np.unique(np.concatenate((live, live[live > 0] - 1)))  # passages that may hold a hit
-    projected = _passages(block, directions[place] * weight[place, None], first, text_of_block)[live]
-    norm = np.sqrt((projected * projected).sum(1))
-    live, projected = live[norm > 0], projected[norm > 0] / norm[norm > 0][:, None]
+    at, place = bench.places(hashes)
+    places = np.full(len(hashes), -1)
+    places[at] = place
+    first, text_of_block = _blocks(words)
+    weighed = directions * weight[:, None]
     passage, window, cosine = [], [], []
-    for low in range(0, len(live), 4096):
-        c = projected[low : low + 4096] @ latent.T
+    for low, high, end, hits in _pieces(bench, words):
+        projected = _passages(hits.times(weighed), text_of_block[low:end])[: high - low]
+        norm = np.sqrt((projected * projected).sum(1))
+        live = np.flatnonzero(norm > 0)
+        c = (projected[live] / norm[live][:, None]) @ latent.T
         p, w = np.nonzero(c >= cosine_floor)
-        passage.append(live[low + p])
+        passage.append(low + live[p])
         window.append(w)
         cosine.append(c[p, w])
-    if not passage:
+    if not sum(map(len, passage)):
         return
     passage, window, cosine = map(np.concatenate, (passage, window, cosine))
     # The region is the passage and half a window on either side, inside its text.
     text = text_of_block[passage]
     start = words.first[text] + (passage - first[text]) * STRIDE - STRIDE
     reach = np.arange(WINDOW + 2 * STRIDE)
-    for w in np.unique(window):
-        rows = np.flatnonzero(window == w)
+    order = np.argsort(window, kind="stable")
+    begin = np.flatnonzero(np.concatenate(([True], np.diff(window[order]) != 0)))
+    local = np.zeros(len(bench.vocabulary) + 1, np.int64)
+    for rows in np.split(order, begin[1:]):
+        w = window[rows[0]]
         own, answer = bench.windows[w], bench.answers[w]
+        distinct, times = np.unique(own, return_counts=True)
+        mine = np.searchsorted(bench.vocabulary, distinct)
+        local[mine] = np.arange(1, len(mine) + 1)
+        least = len(own) if len(own) < SHORT else PARAPHRASED * len(own)
         for low in range(0, len(rows), 2048):
             part = rows[low : low + 2048]
             at = start[part, None] + reach
             inside = (at >= words.first[text[part], None]) & (at < words.first[text[part] + 1, None])
+            # No common order is longer than the words in common, however they stand.
+            common = np.where(inside, local[places[np.clip(at, 0, len(hashes) - 1)]], 0)
+            counts = np.bincount((np.arange(len(part))[:, None] * (len(mine) + 1) + common).ravel(), minlength=len(part) * (len(mine) + 1))
+            may = np.minimum(counts.reshape(len(part), -1)[:, 1:], times).sum(1) >= least
+            if not may.any():
+                continue
+            part, at, inside = part[may], at[may], inside[may]
             region = np.where(inside, hashes[np.clip(at, 0, len(hashes) - 1)], _U(0))
             share = common_subsequences(region, own) / len(own)
             if len(own) < SHORT:
@@ -268,6 +322,7 @@ def _leaks(bench, weight, directions, latent, words, cosine_floor):
                 leaked = (share >= COVERED) | ((share >= PARAPHRASED) & answered)
             for i in np.flatnonzero(leaked):
                 yield int(text[part[i]]), int(w), float(share[i]), float(cosine[part[i]]), bool(answered[i])
+        local[mine] = 0
 
 
 def _prepared(texts: DataFrame, rows: list[tuple]):
@@ -277,11 +332,7 @@ def _prepared(texts: DataFrame, rows: list[tuple]):
         return None
     frequency, total = block_frequencies(texts, bench)
     weight = np.log((total + 1) / (frequency + 1)) + 1e-3
-    informative = frequency <= COMMON_SHARE * max(total, 1)
-    for own in bench.windows:
-        place = np.searchsorted(bench.vocabulary, np.unique(own))
-        informative[place[np.argsort(frequency[place], kind="stable")[:RAREST]]] = True
-    weight = np.where(informative, weight, 0)
+    bench.dense = np.flatnonzero(frequency > DENSE_SHARE * max(total, 1))
     directions = latent_directions(texts, bench, weight, frequency)
     latent = np.zeros((len(bench.windows), directions.shape[1]))
     for k, own in enumerate(bench.windows):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -236,6 +237,27 @@ def test_rows_are_decontaminated_one_by_one(spark, sf_dir):
     assert decontamination.decontaminate(docs, items.limit(0)).count() == len(rows)
 
 
+def test_paraphrases_of_common_words_are_found(spark):
+    """Items of which the rarest 45 percent of words are replaced, the closing words kept: every plant is a leak."""
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    texts = [(r.text or "").split() for r in docs.select("text").collect()]
+    often = Counter(w.lower() for t in texts for w in set(t))
+    g, plants, want = np.random.default_rng(8), [], set()
+    for item in items.collect():
+        words = item.text.split()
+        body = sorted(range(len(words) - decontamination.ANSWER_WORDS), key=lambda i: often[words[i].lower()])
+        for i in body[: int(0.45 * len(words))]:
+            words[i] = f"zz{item.item_id}y{i}"
+        for _ in range(5):
+            own = texts[int(g.integers(len(texts)))]
+            at = int(g.integers(len(own) + 1))
+            plants.append((100_000 + len(plants), " ".join([*own[:at], *words, *own[at:]])))
+            want.add((plants[-1][0], item.item_id))
+    both = docs.select("doc_id", "text").union(spark.createDataFrame(plants, "doc_id long, text string"))
+    found = {(r.doc_id, r.item_id) for r in decontamination.leaked_passages(both, items).collect()}
+    assert want <= found, f"{len(want - found)} of {len(want)} lost"
+
+
 def test_common_subsequence():
     g = np.random.default_rng(4)
     regions, window = g.integers(1, 6, (40, 25)).astype(np.uint64), g.integers(1, 6, 12).astype(np.uint64)
