@@ -14,8 +14,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.sizing import stored_bytes
+from marquee.session import enable_checkpoints
+
 TRAINING_ROWS = 20_000  # labelled URLs of each class that the trees are fitted on, at most
-SUFFIXES = 4096  # host suffixes with statistics of their own, at most; all others share the mean
+HOT_SHARE = 1e-4  # suffixes with at least this share of labelled URLs are broadcast in any case
+JOIN_BYTES = 64 << 20
 TREES, DEPTH = 20, 4
 FEATURES = (
     "length host_length path_length host_depth path_depth digit_ratio host_digit_ratio "
@@ -97,16 +101,14 @@ def lexical(pages: DataFrame) -> DataFrame:
 
 
 def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    """(suffix, suffix_rate, suffix_share) of the commonest last two host parts of labelled URLs.
+    """(suffix, suffix_rate, suffix_share) of the last two host parts of all labelled URLs.
 
     The rate is the smoothed share of blocked URLs, pulled to the mean of all.
     """
     per = labelled.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b"))
     whole = per.agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
     return (
-        per.orderBy(F.desc("n"), "suffix")
-        .limit(SUFFIXES)
-        .join(F.broadcast(whole))  # one row
+        per.join(F.broadcast(whole))  # one row
         .select(
             "suffix",
             ((F.col("b") + 10 * F.col("all_b") / F.col("all_n")) / (F.col("n") + 10)).alias("suffix_rate"),
@@ -115,6 +117,24 @@ def suffix_statistics(labelled: DataFrame) -> DataFrame:
     )
 
 
+def with_statistics(frame: DataFrame, statistics: DataFrame, limit: int = JOIN_BYTES) -> DataFrame:
+    """Add suffix_rate and suffix_share by ``suffix``, null where it has none.
+
+    Statistics beyond the limit are shuffled but for the hot ones, 1 / HOT_SHARE rows at
+    most; rows with hot suffixes are then dealt over all partitions.
+    """
+    if stored_bytes(statistics) <= limit:
+        return frame.join(F.broadcast(statistics), "suffix", "left")
+    hot = F.col("suffix_share") >= HOT_SHARE
+    names = {"suffix_rate": "hot_rate", "suffix_share": "hot_share"}
+    given = frame.join(F.broadcast(statistics.filter(hot).withColumnsRenamed(names)), "suffix", "left")
+    # No suffix has a slash.
+    spread = F.concat(F.lit("/"), F.pmod(F.xxhash64("url"), F.lit(1 << 20)).cast("string"))
+    given = given.withColumn("cold", F.when(F.col("hot_rate").isNull(), F.col("suffix")).otherwise(spread))
+    joined = given.join(statistics.filter(~hot).withColumnRenamed("suffix", "cold"), "cold", "left")
+    return joined.withColumns({c: F.coalesce(n, c) for c, n in names.items()}).drop("cold", *names.values())
+
+
 def judge_urls(
     pages: DataFrame, rules: Rules, *, id_col: str = "page_id", url_col: str = "url", training_rows: int = TRAINING_ROWS
 ) -> DataFrame:
@@ -143,12 +163,13 @@ def judge_urls(
         probability = F.lit(1.0 if known == {"block"} else 0.0)
         scored = ruled.withColumn("block_probability", probability)
     else:
-        statistics = F.broadcast(suffix_statistics(labelled))  # SUFFIXES rows at most
+        enable_checkpoints(pages.sparkSession)
+        statistics = suffix_statistics(labelled).checkpoint()
         mean = labelled.agg(F.avg("blocked")).first()[0]
         assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
 
         def vectors(frame: DataFrame) -> DataFrame:
-            frame = lexical(frame).join(statistics, "suffix", "left")
+            frame = with_statistics(lexical(frame), statistics)
             return assemble.transform(frame.fillna({"suffix_rate": mean, "suffix_share": 0.0}))
 
         # Of each verdict the rows of smallest hash; equal URLs stay together, so the limit is by row.

@@ -175,6 +175,19 @@ def test_trees_learn_from_lexical_features(spark):
     assert (found[5000], found[5001]) == ("block", "allow")
 
 
+def test_every_labelled_suffix_has_statistics(spark):
+    """A suffix keeps its statistics however many commoner ones there are, and by either join."""
+    rows = [(f"x{i % 5000}.com", 0.0) for i in range(10_000)] + [("rare.net", 1.0)]
+    labelled = spark.createDataFrame(rows, "suffix string, blocked double")
+    statistics = url_filter.suffix_statistics(labelled).checkpoint()
+    assert statistics.count() == 5001
+    rates = {r.suffix: r.suffix_rate for r in statistics.collect()}
+    assert rates["rare.net"] > rates["x1.com"]
+    urls = labelled.select("suffix").union(spark.createDataFrame([("none.org",), ("",)], "suffix string")).withColumn("url", F.col("suffix"))
+    one, two = (sorted(url_filter.with_statistics(urls, statistics, b).select("suffix", "suffix_rate", "suffix_share").collect(), key=str) for b in (1 << 30, 0))
+    assert len(one) == len(rows) + 2 and one == two and {r.suffix: r.suffix_rate for r in one} == rates | {"none.org": None, "": None}
+
+
 def test_shards_fit_and_split_only_when_full(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     limit = 40_000
