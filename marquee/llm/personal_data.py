@@ -20,7 +20,7 @@ from marquee.session import enable_checkpoints
 
 KINDS = ("email", "ip", "card", "phone")
 DISCOVERED = "id"
-ROUNDS, RELIABLE = 3, 0.75
+RELIABLE, SETTLED = 0.75, 1e-6
 JOIN_BYTES = 64 << 20
 
 # The base patterns. Where a run of characters has failed from its beginning it fails from
@@ -35,8 +35,10 @@ _BASE = {
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 # An identifier-like word has four signs or more with a digit or an @ among them.
 _WORD = "A-Za-z0-9@._%+:/-"
+_MARK = "@._%+:/-"
 _IDENTIFIER = (
-    rf"(?:\G|(?<![{_WORD}]))(?=[{_WORD}]*[0-9@])[A-Za-z0-9+][{_WORD}]{{3,254}}(?<=[A-Za-z0-9])(?![{_WORD}]*[A-Za-z0-9])"
+    rf"(?:\G|(?<![{_WORD}]))(?=[A-Za-z._%+:/-]*+[0-9@])(?=[A-Za-z0-9+][{_WORD}]{{2}}[{_MARK}]*+[A-Za-z0-9])"
+    rf"[A-Za-z0-9+](?:[{_MARK}]*+[A-Za-z0-9]++)*+"
 )
 _OPEN, _CLOSE, _OTHER = "\u0001", "\u0002", "\u0003"
 
@@ -119,12 +121,13 @@ def base_spans(text: Column) -> Column:
 def candidates(text: Column, base: Column) -> Column:
     """Array of (start, end, identifier, context, known) of identifier-like words.
 
-    The context is the one or two words before it within 80 characters, in lower case.
+    The context is the one or two words before it, whole and in lower case.
     """
     found = F.when(text.rlike("[0-9@]"), _matches(text, _IDENTIFIER))
 
     def describe(m):
-        left = F.regexp_extract(F.lower(F.right(m["before"], F.lit(80))), r"(\S+(?:\s+\S+)?)\s*$", 1)
+        # Backwards, so that the search is anchored and takes a single pass.
+        left = F.lower(F.reverse(F.regexp_extract(F.reverse(m["before"]), r"^\s*+(\S++(?:\s++\S++)?+)", 1)))
         known = F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("identifier"), left.alias("context"), known.alias("known"))
 
@@ -133,29 +136,33 @@ def candidates(text: Column, base: Column) -> Column:
     return F.coalesce(described.cast(kind), F.array().cast(kind))
 
 
-def reliable_contexts(pairs: DataFrame, rounds: int = ROUNDS, reliable: float = RELIABLE) -> DataFrame:
+def reliable_contexts(pairs: DataFrame, reliable: float = RELIABLE) -> DataFrame:
     """(context, confidence) of the contexts at ``reliable`` or above, from rows (context, identifier, known).
 
     confidence = (sum of its distinct identifiers' scores) / (their number + 1);
     an unknown identifier scores 1 - product of (1 - confidence) over its other sightings.
+    Scores only grow; they are computed in turn until none grows by more than SETTLED.
     """
     graph = pairs.groupBy("context", "identifier").agg(F.max("known").alias("known")).checkpoint()
-    scores = graph.groupBy("identifier").agg(F.max("known").cast("double").alias("score"))
-    for turn in range(rounds):
+    scores = graph.groupBy("identifier").agg(F.max("known").cast("double").alias("score")).checkpoint()
+    while True:
         contexts = (
             graph.join(scores, "identifier")
             .groupBy("context")
             .agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"))
+            .checkpoint()
         )
-        if turn < rounds - 1:
-            unseen = F.exp(F.sum(F.log1p(-F.when(F.col("confidence") >= 0.5, F.col("confidence")).otherwise(0.0))))
-            scores = (
-                graph.join(contexts, "context")
-                .groupBy("identifier")
-                .agg(F.when(F.max("known"), 1.0).otherwise(1 - unseen).alias("score"))
-                .checkpoint()
-            )
-    return contexts.filter(F.col("confidence") >= reliable)
+        unseen = F.exp(F.sum(F.log1p(-F.when(F.col("confidence") >= 0.5, F.col("confidence")).otherwise(0.0))))
+        later = (
+            graph.join(contexts, "context")
+            .groupBy("identifier")
+            .agg(F.when(F.max("known"), 1.0).otherwise(1 - unseen).alias("score"))
+            .checkpoint()
+        )
+        grown = later.join(scores.withColumnRenamed("score", "before"), "identifier").filter(F.col("score") > F.col("before") + SETTLED)
+        if grown.isEmpty():
+            return contexts.filter(F.col("confidence") >= reliable)
+        scores = later
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -13,7 +13,8 @@ from plain import base_spans
 from pyspark.sql import functions as F
 
 from marquee.llm import decontamination, pieces, sharding, token_counts, url_filter
-from marquee.llm.personal_data import KINDS, personal_data, redact
+from marquee.llm.personal_data import KINDS, personal_data, redact, reliable_contexts
+from marquee.session import enable_checkpoints
 
 TEXTS = [
     "", None, " ", "  ", "a", "  a  b \n\n c  ", " ▁x▁ ▁", "日本語 😀 <s></s>", "\x00 a", "a\x00", "a" * 700, "é " * 100,
@@ -128,6 +129,38 @@ def test_contexts_discover_identifiers(spark):
     assert clean[3] == "Some words. My contact code: <email> and so on"
 
 
+def test_identifiers_and_contexts_of_any_length(spark):
+    """A key of 3001 signs and context words of 200 signs."""
+    far = "k" * 200
+    rows = [(i, f"Text. My {far} code: user{i}@mail.com and so on") for i in range(8)]
+    rows += [(20, f"My {far} code: {'Z9-' * 1000}a... bye"), (21, f"Other {far} code: QQ-12345 here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in personal_data(docs).collect()}
+    at = rows[8][1].index("Z9")
+    assert found[20].spans == f"id:{at}:{at + 3001}" and found[21].n_id == 1
+
+
+def test_scores_run_until_they_settle(spark):
+    """A chain of contexts, each of which knows the identifiers of the one before only."""
+    rows = [("c0", f"i0_{j}", True) for j in range(40)]
+    for hop in range(6):
+        rows += [(f"c{hop}", f"i{hop + 1}_{j}", False) for j in range(2)]
+        rows += [(f"c{hop + 1}", f"i{hop + 1}_{j}", False) for j in range(2)] + [(f"c{hop + 1}", f"k{hop}_{j}", True) for j in range(4)]
+        rows += [(f"c{hop + 1}", f"i{hop + 1}_{j}", False) for j in range(2)]
+    pairs = spark.createDataFrame(rows, "context string, identifier string, known boolean")
+    enable_checkpoints(spark)
+    found = {r.context: r.confidence for r in reliable_contexts(pairs).collect()}
+    score, names = {i: float(any(k for _, x, k in rows if x == i)) for _, i, _ in rows}, {c for c, _, _ in rows}
+    known = {i for _, i, k in rows if k}
+    for _ in range(200):
+        own = {c: {i for x, i, _ in rows if x == c} for c in names}
+        confidence = {c: sum(score[i] for i in own[c]) / (len(own[c]) + 1) for c in names}
+        for i in score.keys() - known:
+            score[i] = 1 - float(np.prod([1 - confidence[c] for c in names if i in own[c] and confidence[c] >= 0.5]))
+    assert found.keys() == {c for c in names if confidence[c] >= 0.75}
+    assert all(abs(found[c] - confidence[c]) < 1e-4 for c in found)
+
+
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/")]
 
 
