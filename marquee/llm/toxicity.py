@@ -2,7 +2,8 @@
 
 Documents carry the only labels there are, so training words get theirs by distant
 supervision: inside toxic documents, a word counts as toxic if one of its features (its
-whole form or a prefix) stands in many toxic contexts and next to never in clean ones.
+whole form or a prefix) stands in toxic documents significantly more often than in clean
+ones, and next to never in these.
 The chain (two states, one chain for each sentence) is trained on these words; forward
 and backward passes then give the marginal of every word of every text. A document's
 score is a calibrated function of its strongest marginal and of the expected number of
@@ -27,7 +28,7 @@ SAMPLE_PER_CLASS = 2048  # labelled documents of each class that the model is fi
 CELLS = 1 << 20
 PREFIXES = (4, 5, 6)
 TEMPLATES = 1 + len(PREFIXES)
-CONTEXT_SHARE, LEAST_CONTEXTS, CLEAN_RATIO = 0.02, 4, 30.0
+LEAST_TEXTS, CLEAN_RATIO, FALSE_SHARE = 4, 30.0, 0.01
 ROUNDS, RATE, RIDGE = 40, 0.5, 1e-5
 
 _PUNCTUATION = np.zeros(256, bool)
@@ -105,21 +106,60 @@ def marginals(emission: np.ndarray, start: np.ndarray, length: np.ndarray, moves
     return forward + backward, forward, backward
 
 
-def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray, documents: int) -> np.ndarray:
-    """Distant labels of training words, of which ``toxic_doc`` stand in the given number of toxic documents."""
-    left = np.concatenate(([0], cells[0, :-1])).astype(np.int64)
+def _distinct_texts(cells: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Number of each document's text, near copies having the same: documents with an equal minimum of shingle hashes."""
+    same = np.arange(len(first) - 1)
+    h = cells[0].astype(np.uint64)
+    runs = np.zeros(len(h), np.uint64)
+    for k in range(5):
+        runs = mix(runs + np.roll(h, -k) + np.uint64(1))
+    long = np.flatnonzero(np.diff(first) >= 5)
+    for seed in range(8):
+        own = mix(runs ^ np.uint64(0x9E3779B97F4A7C15 * (seed + 1) % (1 << 64)))
+        least = np.array([own[first[i] : first[i + 1] - 4].min() for i in long], np.uint64)
+        place = np.unique(least, return_inverse=True)[1]
+        while True:  # the smallest number spreads over documents of equal minimum and of equal number
+            before = same.copy()
+            smallest = np.full(len(long), len(same))
+            np.minimum.at(smallest, place, same[long])
+            target = np.arange(len(same))
+            np.minimum.at(target, same[long], smallest[place])
+            same = target[same]
+            if (same == before).all():
+                break
+    return same
+
+
+def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Distant labels of training words, given whether their document is toxic and the number of its text.
+
+    Evidence are distinct texts, so a form that near copies repeat counts once. A form
+    must be so unevenly spread over toxic and clean texts that of all forms found
+    FALSE_SHARE at most are expected by chance (Benjamini-Hochberg over tail bounds).
+    """
     marked = np.zeros(cells.shape[1], bool)
     n_toxic, n_clean = max(toxic_doc.sum(), 1), max((~toxic_doc).sum(), 1)
-    contexts = {}
-    for k in range(TEMPLATES):
-        pairs = np.unique((cells[k, toxic_doc].astype(np.int64) << 20) | left[toxic_doc])
-        contexts[k] = np.bincount(pairs >> 20, minlength=CELLS)
-    # Contexts are distinct words to the left: forms that copies of a text repeat have few.
-    least = max(LEAST_CONTEXTS, CONTEXT_SHARE * documents)
     for k in range(TEMPLATES):
+        texts = [
+            np.bincount(np.unique((cells[k, own].astype(np.int64) << 32) | text[own]) >> 32, minlength=CELLS)
+            for own in (toxic_doc, ~toxic_doc)
+        ]
+        seen = np.flatnonzero(texts[0] + texts[1])
+        t, c = texts[0][seen], texts[1][seen]
+        chance, share = max(t.sum(), 1) / max((t + c).sum(), 1), t / (t + c)
+        # Chernoff bound of the chance that so many of a form's texts are toxic.
+        with np.errstate(divide="ignore", invalid="ignore"):
+            apart = np.where(t > 0, share * np.log(share / chance), 0)
+            apart += np.where(c > 0, (1 - share) * np.log((1 - share) / (1 - chance)), 0)
+        p = np.where(share > chance, np.exp(-(t + c) * apart), 1.0)
+        order = np.argsort(p)
+        passed = np.flatnonzero(p[order] <= FALSE_SHARE * np.arange(1, len(p) + 1) / max(len(p), 1))
+        bound = p[order[passed[-1]]] if len(passed) else -1.0
+        significant = np.zeros(CELLS, bool)
+        significant[seen[(p <= bound) & (t >= LEAST_TEXTS)]] = True
         toxic = np.bincount(cells[k, toxic_doc], minlength=CELLS)
         clean = np.bincount(cells[k, ~toxic_doc], minlength=CELLS)
-        pure = (contexts[k] >= least) & ((toxic + 0.5) / n_toxic >= CLEAN_RATIO * (clean + 0.5) / n_clean)
+        pure = significant & (toxic / n_toxic >= CLEAN_RATIO * clean / n_clean)
         marked |= pure[cells[k]]
     return marked & toxic_doc
 
@@ -211,7 +251,7 @@ def fit_documents(rows: list[np.ndarray], labels: np.ndarray, class_sizes: tuple
     table = np.concatenate(rows) if rows else np.zeros((0, TEMPLATES + 1), np.int32)
     cells, start = np.ascontiguousarray(table[:, :TEMPLATES].T), np.flatnonzero(table[:, TEMPLATES])
     length = np.diff(np.append(start, len(table)))
-    y = _toxic_words(cells, np.repeat(labels == 1, np.diff(first)), int((labels == 1).sum()))
+    y = _toxic_words(cells, *(np.repeat(x, np.diff(first)) for x in (labels == 1, _distinct_texts(cells, first))))
     theta, moves, bias = fit_chain(cells, start, length, y)
     theta = theta.astype(np.float32)
     odds = marginals(emissions(theta, cells, bias), start, length, moves)[0]

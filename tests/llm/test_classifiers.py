@@ -66,6 +66,31 @@ def test_spans_are_code_points(tables, spark):
     assert {r.doc_id for r in toxicity.drop_toxic(frame.withColumn("score", F.lit("x")), model).collect()} >= {2, None}
 
 
+def test_toxic_forms_in_set_phrases_and_in_the_tail():
+    """Forms with one left neighbour, and many forms of 1.5 percent of toxic documents each, are toxic; those of near copies not."""
+    g = np.random.default_rng(6)
+    texts = []
+    for i in range(2000):
+        words = [f"{'abcdefghij'[j % 10]}{j:03d}" for j in g.integers(0, 300, 60)]
+        if i < 1000:
+            words[30:30] = ["you", "phrasal"] if i % 10 == 0 else ["any", f"{i % 66:02d}tail"]
+        if i >= 1960:  # near copies, all labelled toxic
+            words = [f"a{j:03d}" for j in range(60)]
+            words[i % 60] = "x1"
+            words[59] = "copied"
+        texts.append(" ".join(words).encode())
+    labels = np.array([int(i < 1000 or i >= 1960) for i in range(2000)])
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in texts])))
+    t = toxicity.tokens(data, bounds)
+    same = toxicity._distinct_texts(t.cells, t.first)
+    assert len(set(same[1960:].tolist())) == 1 and len(set(same[:1960].tolist())) == 1960
+    per = np.diff(t.first)
+    y = toxicity._toxic_words(t.cells, np.repeat(labels == 1, per), np.repeat(same, per))
+    words = [bytes(data[a:b]) for a, b in zip(t.start, t.end)]
+    got = {w for w, toxic in zip(words, y) if toxic}
+    assert got == {b"phrasal", b"you", b"any"} | {b"%02dtail" % i for i in range(66)}
+
+
 def test_without_labels_or_with_one_class(spark, tables):
     docs = tables[0].limit(20)
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
