@@ -51,10 +51,11 @@ class Tokens:
 
 def _trimmed(data, start, end):
     """Bounds without punctuation at either end; words of punctuation only keep theirs."""
+    plain = np.flatnonzero(~_PUNCTUATION[data])
+    first, after = np.searchsorted(plain, start), np.searchsorted(plain, end)
+    some = after > first
     low, high = start.copy(), end.copy()
-    for _ in range(8):
-        low += (high - low > 1) & _PUNCTUATION[data[low]]
-        high -= (high - low > 1) & _PUNCTUATION[data[high - 1]]
+    low[some], high[some] = plain[first[some]], plain[after[some] - 1] + 1
     return low, high
 
 

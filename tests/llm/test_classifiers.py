@@ -91,6 +91,14 @@ def test_toxic_forms_in_set_phrases_and_in_the_tail():
     assert got == {b"phrasal", b"you", b"any"} | {b"%02dtail" % i for i in range(66)}
 
 
+def test_words_lose_all_outer_punctuation():
+    """However many marks stand around a word, its features and bounds are those of the bare word."""
+    text = b"idiot " + b"." * 9 + b"idiot " + b"*" * 500 + b"idiot" + b"!" * 40 + b" ------------ a"
+    t = toxicity.tokens(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert [text[a:b] for a, b in zip(t.start, t.end)] == [b"idiot"] * 3 + [b"-" * 12, b"a"]
+    assert (t.cells[:, :3] == t.cells[:, :1]).all()
+
+
 def test_without_labels_or_with_one_class(spark, tables):
     docs = tables[0].limit(20)
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
