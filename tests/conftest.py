@@ -48,12 +48,3 @@ def conf(spark):
     yield put
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def rows(frame):
-    """Rows as a list of tuples, sorted as text with nulls last."""
-    return sorted((tuple(r) for r in frame.collect()), key=lambda r: [(v is None, str(v)) for v in r])
-
-
-def physical_plan(frame) -> str:
-    return frame._jdf.queryExecution().executedPlan().toString()

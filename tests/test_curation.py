@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import rows
+from frames import rows
 
 from marquee.operators import join_links, join_movie_data, join_ratings_movies
 from marquee.plans.curation import movie_repo, movie_tags, sorted_movie_tags, tag_bundle

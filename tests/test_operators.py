@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import math
 
-from conftest import rows
+from frames import rows
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import physical_plan
+from frames import physical_plan
 from pyspark.sql import functions as F
 
 from marquee.operators import join_ratings_movies, top_k, top_k_per_group

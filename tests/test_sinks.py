@@ -3,7 +3,7 @@ from __future__ import annotations
 import csv
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.errors import AnalysisException
 
 from marquee.sinks import export_csv, preview, write_csv, write_table

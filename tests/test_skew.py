@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import physical_plan
+from frames import physical_plan
 from pyspark.sql import functions as F
 
 from marquee.operators import join_ratings_movies

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import rows
+from frames import rows
 
 from marquee import schemas
 from marquee.functions.titles import release_year

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from marquee.operators import key_split, one_rating_per_pair
 from marquee.plans import tuning
