@@ -6,8 +6,10 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.llm.alignment import alignment_digest
 from marquee.llm.cover_tree import near_duplicates
 from marquee.llm.decontamination import leaked_passages
+from marquee.llm.exact_dedup import mark_exact_copies
 from marquee.llm.jaccard_join import jaccard_components
 from marquee.llm.personal_data import personal_data
 from marquee.llm.pieces import encode_texts
@@ -16,8 +18,9 @@ from marquee.llm.sharding import assign_shards
 from marquee.llm.token_counts import count_tokens
 from marquee.llm.toxicity import fit_toxicity, score_toxicity
 from marquee.llm.url_filter import judge_urls
+from marquee.llm.vector_codes import compress_vectors
 
-PIECE_MODEL = "piece_bpe_32k.model"
+PIECE_MODEL, BYTE_LEVEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 # Fixed rules of the URL query: verdict, then host and path.
@@ -81,6 +84,19 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), piece_model())
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(BYTE_LEVEL), encoding="utf-8") as file:
+        return alignment_digest(table(spark, sf_dir, "documents"), file.read(), piece_model())
+
+
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_exact_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": decontamination,
     "op2_embedding_duplicates": embedding_duplicates,
@@ -92,11 +108,31 @@ QUERIES = {
     "op8_pieces": pieces,
     "op9_sharding": sharding,
     "op10_token_counts": token_counts,
+    "op11_vector_codes": vector_codes,
+    "op12_alignment": alignment,
+    "op13_exact_dedup": exact_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+
+def _round_sql(k: int) -> str:
+    """Assignment ``a<k>`` by codebooks ``c<k>``, and the codebooks after it."""
+    return f"""a{k} AS (
+            SELECT r, p, min(struct_pack(d, e)) AS best
+            FROM (SELECT r, x.p, e, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d
+                  FROM cells x JOIN c{k} c ON x.p = c.p AND x.j = c.j GROUP BY r, x.p, e)
+            GROUP BY r, p
+        ), c{k + 1} AS (
+            SELECT c.p, c.e, c.j, coalesce(u.v, c.v) AS v
+            FROM c{k} c LEFT JOIN (
+                SELECT x.p, a.best.e AS e, x.j, CAST((sum(x.v) - ((sum(x.v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v
+                FROM cells x JOIN a{k} a ON x.r = a.r AND x.p = a.p GROUP BY x.p, a.best.e, x.j
+            ) u ON c.p = u.p AND c.e = u.e AND c.j = u.j
+        )"""
+
+
 SQL = {
     "op2_embedding_duplicates": """
         WITH RECURSIVE vectors AS (
@@ -143,4 +179,30 @@ SQL = {
             SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
         )
         SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM shingles JOIN smallest USING (doc_id)""",
+    "op11_vector_codes": f"""
+        WITH given AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        ), kept AS (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+                   list_transform(v, lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
+            FROM given WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), cells AS (
+            SELECT r, (i * 16) // len(v) AS p, i % (len(v) // 16) AS j, v[i + 1] AS v
+            FROM kept, LATERAL (SELECT unnest(range(len(v))) AS i)
+        ), c0 AS (
+            SELECT p, r - 1 AS e, j, v FROM cells WHERE r <= 64
+        ), {_round_sql(0)}, {_round_sql(1)}, {_round_sql(2)}, coded AS (
+            SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+            FROM a2 JOIN kept USING (r) GROUP BY r, vec_id, label
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, j)) FROM c2) AS codebooks_sha256
+        FROM coded""",
+    "op13_exact_dedup": r"""
+        WITH plain AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM plain WINDOW same AS (PARTITION BY t)""",
 }

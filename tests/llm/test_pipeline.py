@@ -11,7 +11,7 @@ from marquee.llm.queries import QUERIES, SQL
 
 
 def test_names():
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(SQL) <= set(QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None and 4 <= len(corpus_pipeline.STAGES) <= 5
 
