@@ -84,7 +84,7 @@ def test_cuts():
     assert common_cuts([0, 1, 2], [0, 0], [1, 2, 1], [3, 1]) == ([2], [1])
     assert common_cuts([0, 1], [1, 0], [1, 2], [1, 2]) == ([2], [2])
     assert common_cuts([], [], [1], [1]) == ([], [])
-    assert common_cuts([0, 1, 0], [2], [1, 0, 2], [0, 0, 3]) == ([3], [1])
+    assert common_cuts([0, 1, 0], [0, 0], [1, 0], [1]) == ([2, 3], [1, 2])
 
 
 @pytest.mark.parametrize("at_once", [1, 7, 10**6])
