@@ -4,25 +4,29 @@ The cumulative byte ends of either side become a dictionary from end to index. W
 have an end (an intersection of hash sets), the sorted common ends cut both id lists into
 groups; inside a group every token of one side is linked with every token of the other.
 
-Three passes: encode and cut (written to the shared folder, so no text is encoded twice);
-count for each pair of ids the documents that hold it linked; look the counts up again.
-Pairs are counted inside the tasks first, so only distinct pairs of a task are shuffled.
-The most frequent pairs go to the lookup as a broadcast of bounded size; rarer ones, if
-there are any, meet their counts in a join, in which no pair is hot.
+Three passes: encode and cut (written to the shared folder in a compact form, so no text is
+encoded twice); count for each pair of ids the documents that hold it linked; add the counts
+up. Links are expanded in numpy for a slice of documents at a time. Pairs are counted inside
+the tasks first, so only distinct pairs of a slice are shuffled. The most frequent pairs go to
+the last pass as a broadcast of bounded size; rarer ones, if there are any, meet their counts
+in a join, in which no pair is hot.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import tokenizers
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +35,16 @@ from marquee.session import enable_checkpoints, scratch_path
 
 TABLE_PAIRS = 1 << 21  # pairs in the broadcast lookup, 17 bytes each
 SLICE_BYTES = 1 << 18  # text that is encoded at a time
+SLICE_TOKENS = 200_000  # tokens whose links are expanded at a time
 LINKS_AT_ONCE = 4_000_000  # links of one document that are expanded at a time
-PAIRS_HELD = 4_000_000  # pairs that a task collects before it counts them
+PAIRS_HELD = 1_000_000  # pairs that a task collects before it adds up their counts
 
 _SEPARATOR = "▁"
+# How byte-level vocabularies of this family split a text. A fixed value.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Texts of these old blocks alone (letters, digits, white space and signs of the first Unicode
+# versions) are split alike by both byte-level libraries; tests go through every character.
+_OLD_BLOCKS = re.compile("[\\x00-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u045f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
 
 
 def byte_level_bytes() -> dict[str, int]:
@@ -63,9 +73,25 @@ class ByteLevelSide:
         for token, i in vocabulary.items():
             known = token not in special and all(c in signs for c in token)
             self.bytes[i] = bytes(signs[c] for c in token) if known else token.encode()
+        self.quick = self._ranked(vocabulary, special)
+
+    def _ranked(self, vocabulary: dict[str, int], special: set[str]):
+        """The same vocabulary for the faster library, if its ids stand in the order of its merges; else None."""
+        plain = sorted((i, self.bytes[i]) for token, i in vocabulary.items() if token not in special)
+        merges = json.loads(self.library.to_str())["model"].get("merges") or []
+        made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+        if made != sorted(made) or len(made) + 256 != len(plain) or self.library.normalizer is not None:
+            return None
+        ranks = {token: i for i, token in plain}
+        return tiktoken.Encoding("byte_level", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        """Ids of each text as the tokenizer file gives them, by the faster library where both surely agree."""
+        found = [self.quick.encode_ordinary(" " + t) if self.quick and _OLD_BLOCKS.fullmatch(t) else None for t in texts]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, e in zip(rest, self.library.encode_batch([" " + texts[i] for i in rest], add_special_tokens=False)):
+            found[i] = e.ids
+        return found
 
 
 class PieceSide:
@@ -107,22 +133,24 @@ def _sides(definition: str, model: bytes) -> tuple:
     return _SIDES[name]
 
 
-def _lists(rows: list[list[int]]) -> pa.Array:
-    bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
-    values = np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, pa.int32()))
+def _packed(lists: tuple) -> bytes:
+    """Four lists of whole numbers, each in the smallest type that holds it."""
+    arrays = [np.asarray(x, np.int64) for x in lists]
+    kinds = [np.min_scalar_type(int(x.max())) if len(x) else np.dtype(np.uint8) for x in arrays]
+    head = np.array([[k.itemsize, len(x)] for k, x in zip(kinds, arrays)], np.int64)
+    return head.tobytes() + b"".join(x.astype(k).tobytes() for k, x in zip(kinds, arrays))
 
 
-def align_texts(docs: DataFrame, definition: str, model: bytes, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, a, b, size_a, size_b), one for each input row: both id lists and the sizes of their groups.
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    head, at, lists = np.frombuffer(data, np.int64, 8).tolist(), 64, []
+    for size, n in zip(head[::2], head[1::2]):
+        lists.append(np.frombuffer(data, f"u{size}", n, at).astype(np.int64))
+        at += size * n
+    return lists
 
-    ``definition`` is the content of a byte-level tokenizer file (side a, which gets a space
-    before the text), ``model`` that of a SentencePiece file (side b). Special tokens are
-    neither added nor recognised. A null or empty text, and one whose tokens do not spell a
-    space and the text on both sides, has no tokens. Null ids and repeated rows are kept,
-    other columns are not looked at, an empty table gives an empty result, and texts of any
-    length are encoded whole.
-    """
+
+def _packed_rows(docs: DataFrame, definition: str, model: bytes) -> DataFrame:
+    """(doc_id, lists) of rows (doc_id, text): the packed ids and group sizes of both sides."""
     shared = docs.sparkSession.sparkContext.broadcast((definition, model))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,13 +160,11 @@ def align_texts(docs: DataFrame, definition: str, model: bytes, *, id_col: str =
             rows = []
             for text, a, b in zip(texts, side_a.encode(texts), side_b.encode(texts)):
                 raw = (" " + text).encode()
-                same = text and b"".join(map(side_a.bytes.__getitem__, a)) == raw == b"".join(map(side_b.bytes.__getitem__, b))
-                if not same:
-                    rows.append(([], [], [], []))
-                    continue
-                rows.append((a, b, *(np.diff(cuts, prepend=0) for cuts in common_cuts(a, b, length_a, length_b))))
-            columns = zip(*rows) if rows else [[]] * 4
-            return pa.RecordBatch.from_arrays([ids, *(_lists(list(c)) for c in columns)], names=["doc_id", "a", "b", "size_a", "size_b"])
+                if text and b"".join(map(side_a.bytes.__getitem__, a)) == raw == b"".join(map(side_b.bytes.__getitem__, b)):
+                    rows.append(_packed((a, b, *(np.diff(cuts, prepend=0) for cuts in common_cuts(a, b, length_a, length_b)))))
+                else:
+                    rows.append(_packed(((), (), (), ())))
+            return pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.binary())], names=["doc_id", "lists"])
 
         for batch in batches:
             low, texts, held = 0, [], 0
@@ -152,9 +178,37 @@ def align_texts(docs: DataFrame, definition: str, model: bytes, *, id_col: str =
                 yield of_slice(batch.column(0).slice(low), texts)
             give_back()
 
-    kind = dict(docs.dtypes)[id_col]
-    lists = ", ".join(f"{c} array<int>" for c in ("a", "b", "size_a", "size_b"))
-    aligned = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(align, f"doc_id {kind}, {lists}")
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.mapInArrow(align, f"doc_id {kind}, lists binary")
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(rows).astype(np.int32), pa.int32()))
+
+
+def align_texts(docs: DataFrame, definition: str, model: bytes, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, a, b, size_a, size_b), one for each input row: both id lists and the sizes of their groups.
+
+    ``definition`` is the content of a byte-level tokenizer file (side a, which gets a space
+    before the text), ``model`` that of a SentencePiece file (side b). Special tokens are
+    neither added nor recognised. A null or empty text, and one whose tokens do not spell a
+    space and the text on both sides, has no tokens. Null ids and repeated rows are kept,
+    other columns are not looked at, an empty table gives an empty result, and texts of any
+    length are encoded whole.
+    """
+    names = ["a", "b", "size_a", "size_b"]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                columns = zip(*(_unpacked(x.as_py()) for x in part.column(1)))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(_lists(list(c)) for c in columns)], names=["doc_id", *names])
+
+    packed = _packed_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), definition, model)
+    kind = dict(packed.dtypes)["doc_id"]
+    aligned = packed.mapInArrow(spread, f"doc_id {kind}, " + ", ".join(f"{c} array<int>" for c in names))
     return aligned.withColumnRenamed("doc_id", id_col)
 
 
@@ -196,52 +250,112 @@ def linked_pairs(
             yield distinct, total
 
 
-def _documents(batch: pa.RecordBatch, first: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """The four lists of each row, from column ``first`` on."""
-    columns = []
-    for column in batch.columns[first : first + 4]:
-        bounds = np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
-        columns.append((column.flatten().to_numpy(zero_copy_only=False), bounds))
-    for i in range(batch.num_rows):
-        yield tuple(values[bounds[i] : bounds[i + 1]] for values, bounds in columns)
-
-
-def pair_counts(aligned: DataFrame) -> DataFrame:
-    """(a, b, n, best): documents that hold the pair linked, and whether no other pair of a has more."""
+@dataclass
+class AlignedSlice:
+    """Lists of some consecutive documents end to end; ``rows`` numbers them within their batch."""
+
+    rows: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    size_a: np.ndarray
+    size_b: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+
+    def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Chunks (row, pair, times); a pair of a row may come again within its chunk, but in no other."""
+        if len(self.rows) == 1:
+            for pair, times in linked_pairs(self.a, self.b, self.size_a, self.size_b):
+                yield np.full(len(pair), self.rows[0]), pair, times
+            return
+        row = np.repeat(np.repeat(self.rows, self.n_groups), self.size_a)  # of each token of a
+        partners = np.repeat(self.size_b, self.size_a)
+        first = np.repeat(np.cumsum(self.size_b) - self.size_b, self.size_a)
+        right = np.arange(int(partners.sum())) - np.repeat(np.cumsum(partners) - partners - first, partners)
+        pair = np.repeat(self.a << 32, partners) | self.b[right]
+        yield np.repeat(row, partners), pair, np.ones(len(pair), np.int64)
+
+    def texts(self) -> list[str]:
+        """The groups of each document as a1,a2|b1;a3|b2,b3."""
+        names = _names(int(max(self.a.max(initial=0), self.b.max(initial=0))) + 1)
+        end_a, end_b = np.cumsum(self.size_a), np.cumsum(self.size_b)
+        before = np.concatenate(([0], (end_a + end_b)[:-1])) if len(end_a) else end_a
+        code = np.zeros(len(self.a) + len(self.b), np.int64)
+        for ids, size, own, start, last in (
+            (self.a, self.size_a, end_a, before, 1),
+            (self.b, self.size_b, end_b, before + self.size_a, 2),
+        ):
+            sign = np.zeros(len(ids), np.int64)
+            sign[own - 1] = last  # what follows the last token of a group
+            code[np.arange(len(ids)) - np.repeat(own - size, size) + np.repeat(start, size)] = 3 * ids + sign
+        parts, bounds = code.tolist(), np.concatenate(([0], np.cumsum(self.n_a + self.n_b))).tolist()
+        return ["".join(map(names.__getitem__, parts[i:j]))[:-1] for i, j in zip(bounds, bounds[1:])]
+
+
+_NAMES: list[str] = []  # of this worker process: each number with a comma, a bar and a semicolon
+
+
+def _names(n: int) -> list[str]:
+    for i in range(len(_NAMES) // 3, n):
+        _NAMES.extend((f"{i},", f"{i}|", f"{i};"))
+    return _NAMES
+
+
+def _slices(column: pa.Array) -> Iterator[AlignedSlice]:
+    """All rows of packed lists; a document with very many links is a slice of its own."""
+    held, size = [], 0
+
+    def joined() -> AlignedSlice:
+        rows, lists = zip(*held)
+        a, b, size_a, size_b = (np.concatenate(x) for x in zip(*lists))
+        n_a, n_b, n_groups = (np.array([len(x[k]) for x in lists], np.int64) for k in (0, 1, 2))
+        return AlignedSlice(np.array(rows, np.int64), a, b, size_a, size_b, n_a, n_b, n_groups)
+
+    for i in range(len(column)):
+        lists = _unpacked(column[i].as_py())
+        links = int((lists[2] * lists[3]).sum())
+        if held and (size >= SLICE_TOKENS or size + links >= LINKS_AT_ONCE):
+            yield joined()
+            held, size = [], 0
+        held.append((i, lists))
+        size += links
+    if held:
+        yield joined()
+
+
+def pair_counts(packed: DataFrame) -> DataFrame:
+    """(a, b, n, best): rows of packed lists that hold the pair linked, and whether no other pair of a has more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def counted() -> pa.RecordBatch:
-            pair, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.int64), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (pair >> 32, pair & 0xFFFFFFFF, n)], names=["a", "b", "n"])
+        def added_up() -> pa.RecordBatch:
+            pairs, times = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.int64),) * 2
+            distinct, inverse = np.unique(pairs, return_inverse=True)
+            total = np.zeros(len(distinct), np.int64)
+            np.add.at(total, inverse, times)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (distinct >> 32, distinct & 0xFFFFFFFF, total)], names=["a", "b", "n"])
 
         for batch in batches:
-            for lists in _documents(batch, 0):
-                for pair, _ in linked_pairs(*lists):
-                    held.append(pair)
-                    size += len(pair)
+            for part in _slices(batch.column(0)):
+                for row, pair, _ in part.links():
+                    pairs, place = np.unique(pair, return_inverse=True)
+                    once = np.unique(row * len(pairs) + place)  # a pair counts once in a row
+                    held.append((pairs, np.bincount(once % max(len(pairs), 1), minlength=len(pairs))))
+                    size += len(pairs)
                     if size >= PAIRS_HELD:
-                        yield counted()
+                        yield added_up()
                         held, size = [], 0
-        yield counted()
+        yield added_up()
         give_back()
 
-    sent = aligned.select("a", "b", "size_a", "size_b").mapInArrow(count, "a long, b long, n long")
+    sent = packed.select("lists").mapInArrow(count, "a long, b long, n long")
     counts = sent.groupBy("a", "b").agg(F.sum("n").alias("n")).checkpoint()
     most = counts.groupBy("a").agg(F.max("n").alias("most"))  # one row for each id of the vocabulary
     return counts.join(F.broadcast(most), "a").select("a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def groups_text(a: list[str], b: list[str], size_a: list[int], size_b: list[int]) -> str:
-    """The groups as a1,a2|b1;a3|b2,b3."""
-    parts, i, j = [], 0, 0
-    for m, n in zip(size_a, size_b):
-        parts.append(f"{a[i]}|{b[j]}" if m == n == 1 else f"{','.join(a[i : i + m])}|{','.join(b[j : j + n])}")
-        i, j = i + m, j + n
-    return ";".join(parts)
-
-
 def alignment_digest(
     docs: DataFrame,
     definition: str,
@@ -263,64 +377,54 @@ def alignment_digest(
     enable_checkpoints(spark)
     path = scratch_path(spark, "aligned")
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    numbered = align_texts(plain, definition, model).withColumn("row", F.monotonically_increasing_id())
-    numbered.write.option("compression", "zstd").parquet(path)
-    aligned = spark.read.parquet(path)
-    counts = pair_counts(aligned).checkpoint()
+    _packed_rows(plain, definition, model).write.option("compression", "zstd").parquet(path)
+    packed = spark.read.parquet(path)
+    counts = pair_counts(packed).checkpoint()
     number = counts.count()
     common = counts if number <= table_pairs else counts.orderBy(F.desc("n"), "a", "b").limit(table_pairs)
     table = common.toArrow()  # at most table_pairs rows
     keys = table["a"].to_numpy() << 32 | table["b"].to_numpy()
     order = np.argsort(keys)
-    values = (keys[order], table["n"].to_numpy()[order], table["best"].to_numpy()[order])
-    shared = spark.sparkContext.broadcast(values)
+    shared = spark.sparkContext.broadcast((keys[order], table["n"].to_numpy()[order], table["best"].to_numpy()[order]))
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, best = shared.value
-        names = [str(i) for i in range(1 << 16)]
-
-        def named(ids: np.ndarray) -> list[str]:
-            found = ids.tolist()
-            return [names[i] if i < len(names) else str(i) for i in found]
-
         for batch in batches:
-            rows, missing = [], []
-            for a, b, size_a, size_b in _documents(batch, 2):
-                n_best = count_sum = 0
-                open_pairs = []
-                for pair, times in linked_pairs(a, b, size_a, size_b):
+            n = batch.num_rows
+            n_links, n_best, count_sum = np.zeros((3, n), np.int64)
+            lengths, digests, missing = np.zeros((3, n), np.int64), [], [[] for _ in range(n)]
+            for part in _slices(batch.column(1)):
+                lengths[:, part.rows] = part.n_a, part.n_b, part.n_groups
+                digests += [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in part.texts()]
+                for row, pair, times in part.links():
                     at = np.minimum(np.searchsorted(keys, pair), max(len(keys) - 1, 0))
                     known = keys[at] == pair if len(keys) else np.zeros(len(pair), bool)
-                    at, weight = at[known], times[known]
-                    n_best += int(weight[best[at]].sum())
-                    count_sum += int((weight * counts[at]).sum())
-                    if not known.all():
-                        open_pairs += zip((pair[~known] >> 32).tolist(), (pair[~known] & 0xFFFFFFFF).tolist(), times[~known].tolist())
-                links = int((size_a.astype(np.int64) * size_b).sum())
-                text = groups_text(named(a), named(b), size_a.tolist(), size_b.tolist())
-                digest = hashlib.sha256(text.encode()).hexdigest() if len(a) else ""
-                rows.append((len(a), len(b), len(size_a), links, n_best, count_sum, digest))
-                missing.append([{"a": x, "b": y, "times": t} for x, y, t in open_pairs])
-            kinds = [pa.int64()] * 6 + [pa.string()]
-            columns = [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 7, kinds)]
+                    np.add.at(n_links, row, times)
+                    if known.any():
+                        at, own = at[known], times[known]
+                        np.add.at(n_best, row[known], own * best[at])
+                        np.add.at(count_sum, row[known], own * counts[at])
+                    for i in np.flatnonzero(~known):
+                        missing[row[i]].append({"a": int(pair[i]) >> 32, "b": int(pair[i]) & 0xFFFFFFFF, "times": int(times[i])})
             pairs = pa.array(missing, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("times", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, pairs], names=[*names_out, "missing"])
+            numbers = [pa.array(x) for x in (*lengths, n_links, n_best, count_sum)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(digests, pa.string()), pairs], names=[*names, "missing"])
         give_back()
 
-    names_out = ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     kind = dict(plain.dtypes)["doc_id"]
-    numbers = ", ".join(f"{c} long" for c in names_out[1:8])
+    numbers = ", ".join(f"{c} long" for c in names[1:7])
     schema = f"doc_id {kind}, {numbers}, groups_sha256 string, missing array<struct<a:long,b:long,times:long>>"
-    found = aligned.select("doc_id", "row", "a", "b", "size_a", "size_b").mapInArrow(look_up, schema)
+    found = packed.mapInArrow(look_up, schema)
     if number > table_pairs:
         found = _with_rare_pairs(found, counts)
-    return found.select(F.col("doc_id").alias(id_col), *names_out[2:])
+    return found.select(F.col("doc_id").alias(id_col), *names[1:])
 
 
 def _with_rare_pairs(found: DataFrame, counts: DataFrame) -> DataFrame:
     """The rows with the counts of the pairs that the broadcast lookup left open."""
     path = scratch_path(found.sparkSession, "looked-up")
-    found.write.option("compression", "zstd").parquet(path)
+    found.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     found = found.sparkSession.read.parquet(path)
     rest = (
         found.select("row", F.inline("missing"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 from itertools import accumulate
 
@@ -10,7 +11,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from marquee.llm.alignment import align_texts, alignment_digest, byte_level_bytes, common_cuts, linked_pairs
+from marquee.llm.alignment import _OLD_BLOCKS, ByteLevelSide, align_texts, alignment_digest, byte_level_bytes, common_cuts, linked_pairs
 
 TEXTS = [
     "The cat sat on the mat.", "The cat sat on the mat.", "", None, " ", "  two  spaces ", "tabs\tand\nlines\r\n", "<|endoftext|> <s> </s> <unk> <0x41>",
@@ -104,3 +105,27 @@ def test_one_word_of_100_000_signs(spark, files):
     frame = spark.createDataFrame([(1, "x" * 100_000)], "doc_id long, text string")
     row = alignment_digest(frame, *files).first()
     assert row.n_a > 0 and row.n_b > 0 and row.n_links >= row.n_groups > 0 and row.count_sum == row.n_links
+
+
+def test_ids_equal_the_libraries(spark, files):
+    rng = random.Random(4)
+    signs = [" ", " ", " ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u0085", "\u2003", "\u200b", "a", "The", "'s", "'", "1", "42", "é", "漢", "!", "...", "🏳", "\x00", "_", "٣", "ß"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(1, 30))) for _ in range(3000)]
+    one, two = Tokenizer.from_str(files[0]), sentencepiece.SentencePieceProcessor(model_proto=files[1])
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r for r in align_texts(frame, *files).collect()}
+    spelt = [i for i in range(len(texts)) if found[i].a]
+    assert len(spelt) > 2000
+    for i in spelt:
+        assert found[i].a == one.encode(" " + texts[i], add_special_tokens=False).ids, texts[i]
+        assert found[i].b == two.encode(texts[i]), texts[i]
+
+
+def test_both_byte_level_libraries_agree_on_old_blocks(files):
+    side = ByteLevelSide(files[0])
+    assert side.quick is not None
+    signs = [chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000 and _OLD_BLOCKS.fullmatch(chr(i))]
+    assert 20_000 < len(signs) < 35_000
+    texts = [f" a{c}b {c}1{c} {c}{c}  {c}'s.{c} \n{c}" for c in signs]
+    slow = [e.ids for e in side.library.encode_batch(texts, add_special_tokens=False)]
+    assert [side.quick.encode_ordinary(t) for t in texts] == slow
