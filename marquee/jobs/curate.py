@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee import schemas
 from marquee.plans.curation import movie_repo, tag_bundle
 from marquee.session import job_session
-from marquee.sinks import write_csv, write_table
+from marquee.sinks import ROWS_PER_FILE, write_csv, write_table
 from marquee.sources import read_table, scan_csv
 
 # Names of the raw files. Fixed values.
@@ -56,11 +56,12 @@ def run(
     mode: str = "errorifexists",
     options: dict[str, str] | None = None,
     tag_options: dict[str, str] | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """Write ``<target>/movie_repo`` and, unless switched off, ``<target>/movie_tags``.
 
     A connector that names its tables by options needs no target. CSV has no arrays, so
-    the tag bundle is left out of a CSV run.
+    the tag bundle is left out of a CSV run; its files hold ``rows_per_file`` rows at most.
     """
     raw = read_raw(spark, source, input_fmt, multi_line)
     repo = movie_repo(raw["ratings.csv"], raw["movies.csv"], raw["links.csv"], raw["moviedata.csv"])
@@ -69,7 +70,7 @@ def run(
         return f"{target}/{name}" if target else None
 
     if fmt == "csv":
-        write_csv(repo, place("movie_repo"), mode=mode)
+        write_csv(repo, place("movie_repo"), mode=mode, rows_per_file=rows_per_file)
         return
     write_table(repo, place("movie_repo"), fmt=fmt, mode=mode, options=options)
     if tags:
@@ -91,6 +92,7 @@ def main() -> None:
     options.add_argument("--mode", default="errorifexists")
     options.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="for the movie repo")
     options.add_argument("--tag-option", action="append", default=[], metavar="KEY=VALUE", help="for the tags")
+    options.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE, help="of a CSV file of the movie repo")
     chosen = options.parse_args()
     spark = job_session("curate")
     run(
@@ -103,6 +105,7 @@ def main() -> None:
         mode=chosen.mode,
         options=_pairs(chosen.option),
         tag_options=_pairs(chosen.tag_option),
+        rows_per_file=chosen.rows_per_file,
     )
     spark.stop()
 

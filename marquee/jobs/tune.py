@@ -1,6 +1,6 @@
 """Grid-search the recommender's parameters and save the best model.
 
-    spark-submit marquee/jobs/tune.py <ratings> <model folder> [--parallelism n]
+    spark-submit marquee/jobs/tune.py <ratings> <model folder> [--parallelism n] [--blocks n]
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from marquee import schemas
+from marquee.plans.recommend import AlsSettings
 from marquee.plans.tuning import TUNING_ITERATIONS, TUNING_RANKS, TUNING_REG_PARAMS, TuneReport, tune_report
 from marquee.session import job_session
 from marquee.sources import read_table
@@ -30,6 +31,7 @@ def main() -> None:
     options.add_argument("--max-iter", type=int, default=TUNING_ITERATIONS)
     options.add_argument("--seed", type=int, default=42)
     options.add_argument("--parallelism", type=int, default=1)
+    options.add_argument("--blocks", type=int, default=AlsSettings.blocks, help="parts of either side's factors")
     chosen = options.parse_args()
     spark = job_session("tune")
     report = run(
@@ -42,6 +44,7 @@ def main() -> None:
         max_iter=chosen.max_iter,
         seed=chosen.seed,
         parallelism=chosen.parallelism,
+        base=AlsSettings(seed=chosen.seed, blocks=chosen.blocks),
     )
     report.tuned.metrics.show(truncate=False)
     report.summary.show(truncate=False)

@@ -6,8 +6,11 @@ that user in it, score the movies the user has not seen, and rank them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +82,32 @@ def fit(ratings: DataFrame, settings: AlsSettings = AlsSettings(), unique_pairs:
     return estimator(settings).fit(complete if unique_pairs else one_rating_per_pair(complete))
 
 
+@contextmanager
+def held_pairs(ratings: DataFrame) -> Iterator[DataFrame]:
+    """One rating per user and movie, computed once for all that happens inside the block.
+
+    A fit reads its ratings several times and a prediction again; without this every reading
+    would average and shuffle all ratings anew. Lost parts are recomputed.
+    """
+    complete = ratings.dropna("any", subset=["userid", "movieid", "rating"])
+    pairs = one_rating_per_pair(complete).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield pairs
+    finally:
+        pairs.unpersist()
+
+
+def fit_and_predict(ratings: DataFrame, settings: AlsSettings = AlsSettings()) -> tuple[ALSModel, DataFrame]:
+    """The model, and its predictions (userid, movieid, rating, prediction) of the pairs it was fitted on.
+
+    Ratings are shuffled once for both. The predictions are checkpointed in the shared folder.
+    """
+    enable_checkpoints(ratings.sparkSession)
+    with held_pairs(ratings) as pairs:
+        model = fit(pairs, settings, unique_pairs=True)
+        return model, predict(model, pairs).checkpoint()
+
+
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """Predictions for (userid, movieid) pairs; pairs with an unknown or missing side drop out."""
     # The model narrows ids to 32 bits on its way.

@@ -11,7 +11,7 @@ from marquee.registry import domain, recommendation
 from marquee.registry import reports as report_queries
 from marquee.registry.domain import single, single_sql, with_tables
 from marquee.session import scratch_path
-from marquee.sinks import export_csv, write_csv, write_table
+from marquee.sinks import ROWS_PER_FILE, export_csv, write_csv, write_table
 from marquee.sources import read_csv_by_name, read_table, scan_csv, split_text_ratings
 
 
@@ -89,7 +89,7 @@ _BROKEN_PLOT = 'line one\nsaid "two", three'
 def csv_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
     """Report counts over a wide CSV whose plots hold line breaks, quotes and commas."""
     path = scratch_path(spark, "broken-plots")
-    write_csv(domain.repo(spark, sf).withColumn("plot", F.lit(_BROKEN_PLOT)), path)
+    write_csv(domain.repo(spark, sf).withColumn("plot", F.lit(_BROKEN_PLOT)), path, rows_per_file=ROWS_PER_FILE)
     wide = read_table(spark, path, schemas.REPORT_INPUT, multi_line=True)
     return wide.groupBy("genres").agg(
         F.count("title").alias("titles"), F.count(F.lit(1)).alias("ratings"), F.max("userid").alias("last_userid")

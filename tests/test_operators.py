@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import math
 
-from frames import rows
+from frames import physical_plan, rows
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
@@ -22,6 +22,7 @@ from marquee.operators import (
     with_listed_ids,
     without_listed_ids,
 )
+from marquee.operators.ranking import rounds_of_parts
 from marquee.operators.sizing import broadcast_if_small, stored_bytes
 from marquee.registry import domain
 
@@ -145,3 +146,25 @@ def test_measured_bytes_see_every_type(spark):
         F.struct(F.repeat(F.lit("x"), 7000).alias("f")).alias("s"), F.repeat(F.lit("b"), 5000).cast("binary").alias("b"),
     )
     assert stored_bytes(frame) > 10 * (20000 * 4 + 9000 + 7000 + 5000)
+
+
+def test_one_group_far_beyond_a_task(spark):
+    # 20,000 rows where a task ranks 50: over 64 times as many, and two rounds are needed.
+    frame = spark.range(20_000).select(
+        F.when(F.col("id") < 5, F.lit("small")).otherwise(F.lit("hot")).alias("g"),
+        F.col("id").alias("movieid"),
+        (F.col("id") * 7919 % 997).alias("s"),
+    )
+    assert rounds_of_parts(19_995, 3, 50) == [400, 24, 2]
+    found = top_k_per_group(frame, 3, "g", "s", task_rows=50)
+    assert "hash" in physical_plan(found)
+    for g, ids in (("small", range(5)), ("hot", range(5, 20_000))):
+        want = sorted((-(i * 7919 % 997), i) for i in ids)[:3]
+        assert [(-r.s, r.movieid) for r in found.filter(F.col("g") == g).orderBy("rank").collect()] == want
+
+
+def test_rounds_of_parts():
+    assert rounds_of_parts(0, 10, 100) == rounds_of_parts(100, 10, 100) == []
+    assert rounds_of_parts(1000, 100, 100) == []  # nothing would be cut away
+    assert rounds_of_parts(10**9, 10, 10**6) == [1000]
+    assert rounds_of_parts(10**12, 10, 10**6) == [10**6, 10]

@@ -33,6 +33,21 @@ def model(ratings):
     return recommend.fit(ratings, SMALL)
 
 
+def test_ratings_are_averaged_once_for_fit_and_predictions(spark, sf_dir):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    given = domain.ratings(spark, sf_dir)
+    watched = given.mapInArrow(counted, given.schema)
+    _, found = recommend.fit_and_predict(watched, AlsSettings(rank=2, max_iter=2))
+    assert read.value == given.count()
+    assert found.count() == given.select("userid", "movieid").distinct().count()
+
+
 def test_synthetic_user_and_candidates(spark, ratings, movies):
     seeds = search_titles(movies, KEYWORD)
     new_id = next_user_id(ratings).first()[0]

@@ -60,6 +60,29 @@ def test_export_replaces_its_own_report_only(spark, tmp_path):
     assert spark.read.csv(f"{folder}/production-movie", header=True).count() == 3
 
 
+def test_the_other_layout_of_a_report_goes(spark, tmp_path):
+    folder = str(tmp_path)
+    export_csv(spark.range(5), folder, "users-list")
+    (tmp_path / "users").mkdir()
+    (tmp_path / "users" / "notes.txt").write_text("not an export")
+    for size, single in ((3, True), (4, False), (2, True)):
+        name = "title"
+        written = export_csv(spark.range(size).repartition(2), folder, name, single_file=single)
+        there = {p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc") and p.name.startswith(name)}
+        assert there == {"title.csv" if single else "title"}
+        assert spark.read.csv(written, header=True).count() == size
+    export_csv(spark.range(1), folder, "users")
+    assert (tmp_path / "users" / "notes.txt").exists() and (tmp_path / "users-list.csv").exists()
+
+
+def test_rows_of_a_file_are_bounded(spark, tmp_path):
+    path = str(tmp_path / "many")
+    write_csv(spark.range(95).repartition(2), path, rows_per_file=10)
+    files = list((tmp_path / "many").glob("part-*.csv"))
+    assert len(files) >= 10 and all(1 < len(content(f)) <= 11 for f in files)
+    assert spark.read.csv(path, header=True).count() == 95
+
+
 def test_empty_report(spark, tmp_path):
     files = export_csv(spark.range(0), str(tmp_path), "none")
     assert len(files) == 1 and content(files[0]) in ([["id"]], [])

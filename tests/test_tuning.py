@@ -5,7 +5,7 @@ from frames import rows
 
 from marquee.operators import key_split, one_rating_per_pair
 from marquee.plans import tuning
-from marquee.plans.recommend import predict
+from marquee.plans.recommend import AlsSettings, estimator, fit, predict
 from marquee.registry import domain
 
 
@@ -39,6 +39,17 @@ def test_nothing_to_validate_on(parts):
         tuning.tune(train, validation.limit(0), ranks=(2,), reg_params=(0.1,), max_iter=1)
 
 
+def test_blocks_reach_the_winner(spark, sf_dir, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(tuning, "fit", lambda part, settings, **more: fitted.append(settings) or fit(part, settings, **more))
+    base = AlsSettings(seed=7, blocks=3)
+    report = tuning.tune_report(domain.ratings(spark, sf_dir), (2,), (0.1, 0.2), 1, base=base)
+    assert {(s.blocks, s.seed) for s in fitted} == {(3, 7)} and report.tuned.settings.blocks == 3
+    # Factors are hashed to blocks; the model's tables show how many there are.
+    estimated = estimator(report.tuned.settings)
+    assert estimated.getNumUserBlocks() == estimated.getNumItemBlocks() == 3
+
+
 def test_report_and_saved_model(spark, sf_dir, tmp_path):
     path = str(tmp_path / "model")
     ratings = domain.ratings(spark, sf_dir)
