@@ -16,9 +16,12 @@ decides how many false candidates there are. Candidates are verified exactly.
 
 Inside a group of documents with a common key, no list of all pairs is made. First every
 member is verified against the member with the fewest rare tokens (the least edited copy);
-linked members form components. Only pairs of different components are looked at after
-that, in blocks, behind a bitmap that bounds the overlap from above: first the
-likeliest pair of each two components, then all that are still in different ones.
+linked members form components. In keys with many components another leader is elected
+among those that had none, again and again while that joins members: a round sends one
+row for each member. Only pairs of different components are looked at after that, once for
+all keys with the same members, in blocks, behind a parity bitmap that bounds the overlap
+from above and grows with the set: first the likeliest pair of each two components, then
+all that are still in different ones.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
+from marquee.llm.names import unused
 from marquee.llm.words import give_back, mix, shingle_sets, word_slices
 from marquee.operators.sizing import broadcast_if_small
 from marquee.session import enable_checkpoints
@@ -41,11 +45,12 @@ FREQUENT_TOKENS = 1 << 21  # at most so many frequent tokens; each takes 8 bytes
 GROUPS = np.uint64(256)  # hash groups of frequent tokens, within which pairs are made
 LIKELIEST_ROUNDS = 1
 BLOCK = 2048  # members of one key compared in one task
-SKETCH_WORDS = 8  # 64-bit words of a set's parity bitmap
+CROWD = 64  # components of one key above which another leader is elected
+PRODUCTIVE = 0.05  # share of a round's pairs that must be links for another round
+LEAST_SKETCH = 512  # bits of the smallest parity bitmap; larger sets have a power of two above their size
 NODES_MB = 64
 
 _U = np.uint64
-_SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
 
 def _planes(values: np.ndarray, size: int) -> np.ndarray:
@@ -75,12 +80,31 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int, size: int):
             yield batch, low, high, shingle_sets(words, size)
 
 
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of tokens hash to i."""
+    bits = max(LEAST_SKETCH, 1 << (max(len(tokens), 1) - 1).bit_length())
+    return np.packbits(np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) as they would be with fewer bits."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def differing_bits(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """In how many bits a bitmap differs from each of others, all of them not smaller."""
+    return np.bitwise_count(_folded(others, len(one)) ^ one).sum(1, dtype=np.int64)
+
+
 def _text_key(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text).alias("key"), F.length(text).alias("size")
 
 
 def document_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, key, size, n_shingles, fp, s0...): size, fingerprint and parity bitmap of each row's set.
+    """(doc_id, key, size, n_shingles, fp, sketch): size, fingerprint and parity bitmap of each row's set.
 
     ``key`` and ``size``, hash and length of the row's text, pass through.
 
@@ -91,26 +115,20 @@ def document_sets(docs: DataFrame, size: int) -> DataFrame:
 
     def describe(batches):
         for batch, low, high, sets in _sets(batches, 1, size):
-            marks = np.zeros((high - low, SKETCH_WORDS * 64), np.uint8)
-            prints = []
-            for i, s in enumerate(sets):
-                marks[i] = np.bincount((s & _U(SKETCH_WORDS * 64 - 1)).astype(np.int64), minlength=SKETCH_WORDS * 64) & 1
-                prints.append(int(_fingerprint(s).view(np.int64)) if len(s) else None)
-            bits = np.packbits(marks, axis=1).view(np.int64)
+            prints = [int(_fingerprint(s).view(np.int64)) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c).slice(low, high - low) for c in (0, 2, 3)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(prints, pa.int64()),
-                    *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(SKETCH_WORDS)),
+                    pa.array([sketch_of(s) for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "key", "size", "n_shingles", "fp", *_SKETCH],
+                names=["doc_id", "key", "size", "n_shingles", "fp", "sketch"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    columns = ", ".join(f"{c} long" for c in ["n_shingles", "fp", *_SKETCH])
     given = docs.select("doc_id", "text", *_text_key(F.col("text")))
-    return given.mapInArrow(describe, f"doc_id {kind}, key long, size int, {columns}")
+    return given.mapInArrow(describe, f"doc_id {kind}, key long, size int, n_shingles long, fp long, sketch binary")
 
 
 def frequent_tokens(texts: DataFrame, size: int, ranges: int) -> np.ndarray:
@@ -201,9 +219,10 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: int) -> tupl
 
 
 def shared_keys(texts: DataFrame, frequent: np.ndarray, size: int, threshold: int, ranges: int) -> DataFrame:
-    """(key, fp, n, leader, rank): members of every index key that two different sets or more have.
+    """(key, fp, rare, leader, rank): members of every index key that two different sets or more have.
 
-    ``leader`` is the key's member with the fewest rare tokens, ``rank`` their number.
+    ``rare`` is the number of a member's rare tokens, ``leader`` the key's member with the
+    fewest, ``rank`` their number.
     """
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
@@ -259,34 +278,43 @@ def shared_keys(texts: DataFrame, frequent: np.ndarray, size: int, threshold: in
         size = np.diff(np.append(begin, len(key)))
         many, first = np.repeat(size > 1, size), np.repeat(begin, size)[np.repeat(size > 1, size)]
         give_back()
-        signed = {"key": key[many], "fp": fp[many], "n": count[many], "leader": fp[first], "rank": rare[first]}
+        signed = {"key": key[many], "fp": fp[many], "rare": rare[many], "leader": fp[first], "rank": rare[first]}
         return pa.table({c: v.view(np.int64) for c, v in signed.items()})
 
     sent = texts.mapInArrow(send, "range int, rows binary")
-    return sent.groupBy("range").applyInArrow(meet, "key long, fp long, n long, leader long, rank long")
+    return sent.groupBy("range").applyInArrow(meet, "key long, fp long, rare long, leader long, rank long")
+
 
+def _possible(pairs: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b, ...) whose bitmaps and sizes allow a link; n_a, n_b, sketch_a, sketch_b go."""
 
-def _possible(threshold: int, a: str, b: str):
-    """Whether bitmaps and sizes of two sets allow a link."""
-    differing = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in _SKETCH), F.lit(0))
-    total = F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")
-    fits = 100 * F.least(f"{a}.n_shingles", f"{b}.n_shingles") >= threshold * F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    return fits & ((100 + threshold) * differing <= (100 - threshold) * total)
+    def sieve(batches):
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            keep = 100 * np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b)
+            for i in np.flatnonzero(keep):
+                x, y = (np.frombuffer(batch.column(c)[int(i)].as_py(), np.uint64) for c in ("sketch_a", "sketch_b"))
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                keep[i] = (100 + threshold) * differing_bits(x, y[None])[0] <= (100 - threshold) * (n_a[i] + n_b[i])
+            yield batch.select(rest).filter(pa.array(keep, pa.bool_()))
+
+    rest = [c for c in pairs.columns if c not in ("n_a", "n_b", "sketch_a", "sketch_b")]
+    return pairs.mapInArrow(sieve, pairs.select(rest).schema)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) of fingerprints whose sets are similar enough, by their exact overlap.
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, threshold: int, sieved: bool = False) -> DataFrame:
+    """The pairs (a, b) of fingerprints whose sets are similar enough, by the overlap of their token hashes.
 
     Only texts of sets that passed the bitmap are read again, through one document each.
+    ``sieved`` states that the pairs have passed it already. Overlap is counted on 48 bits
+    of a token's hash: two different tokens of a pair are taken for one with a chance of
+    about 2 ** -48 for each two of its tokens.
     """
-    a, b = nodes.alias("x"), nodes.alias("y")
-    likely = (
-        pairs.join(a, F.col("a") == F.col("x.fp"))
-        .join(b, F.col("b") == F.col("y.fp"))
-        .filter(_possible(threshold, "x", "y"))
-        .select("a", "b", F.col("x.rep").alias("rep_a"), F.col("y.rep").alias("rep_b"))
-        .checkpoint()
-    )
+    own = ["rep"] if sieved else ["rep", "n_shingles", "sketch"]
+    short = {"rep": "rep", "n_shingles": "n", "sketch": "sketch"}
+    sides = [nodes.select(F.col("fp").alias(x), *(F.col(c).alias(f"{short[c]}_{x}") for c in own)) for x in ("a", "b")]
+    likely = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
+    likely = (likely if sieved else _possible(likely, threshold)).checkpoint()
     wanted = likely.select(F.explode(F.array("rep_a", "rep_b")).alias("wanted")).distinct()
     texts = docs.join(broadcast_if_small(wanted, NODES_MB << 20), F.col("doc_id") == F.col("wanted"), "left_semi")
 
@@ -329,11 +357,15 @@ def _open_pairs(
     placed = members.select("key", "fp").join(joined.withColumnRenamed("node", "fp"), "fp", "left").select(
         "key", "fp", F.coalesce("component", "fp").alias("component")
     )
+    same = [F.sum(F.xxhash64("fp", F.lit(i)).cast("decimal(38,0)")).alias(f"same{i}") for i in (1, 2)]
     still_open = (
         placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"), *same)
         .filter("low != high")
+        .groupBy("size", "same1", "same2")  # of keys with the same members one is enough
+        .agg(F.min("key").alias("key"))
         .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        .checkpoint()
     )
     rows = placed.join(still_open, "key").join(nodes, "fp")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
@@ -342,25 +374,34 @@ def _open_pairs(
         F.when(F.col("blocks") == 1, F.pmod(F.col("key"), F.lit(4 * ranges))).otherwise(F.col("key")).alias("bundle"),
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
-        "block", "key", "fp", "component", "n_shingles", *_SKETCH,
+        "block", "key", "fp", "component", "n_shingles", "sketch",
     )
 
     def compare(table: pa.Table) -> pa.Table:
         col = {c: table[c].to_numpy() for c in ("key", "fp", "component", "n_shingles", "block")}
         low, high = int(table["low"][0].as_py()), int(table["high"][0].as_py())
-        bits = np.column_stack([table[s].to_numpy() for s in _SKETCH]).view(np.uint64)
         order = np.lexsort((col["n_shingles"], col["key"]))
-        col, bits = {c: v[order] for c, v in col.items()}, bits[order]
+        col, sketches = {c: v[order] for c, v in col.items()}, table["sketch"].combine_chunks()
         begin = np.flatnonzero(np.concatenate(([True], col["key"][1:] != col["key"][:-1])))
         found = [np.zeros((0, 5), np.int64)]
         for s, e in zip(begin, np.append(begin[1:], len(order))):
             n, own, block, fp = (col[c][s:e] for c in ("n_shingles", "component", "block", "fp"))
+            # Bitmaps of one length stand together, since they grow with the set.
+            raw = [sketches[int(k)].as_py() for k in order[s:e]]
+            words = np.array([len(x) // 8 for x in raw])
+            cuts = np.concatenate(([0], np.flatnonzero(words[1:] != words[:-1]) + 1, [e - s]))
+            maps = [np.frombuffer(b"".join(raw[u:v]), np.uint64).reshape(v - u, -1) for u, v in zip(cuts, cuts[1:])]
             for i in range(e - s - 1):
                 # Sizes ascend, so partners that are not too large stand next to each other.
                 end = int(np.searchsorted(n, 100 * n[i] // threshold, "right"))
                 if end <= i + 1:
                     continue
-                differing = np.bitwise_count(bits[s + i] ^ bits[s + i + 1 : s + end]).sum(1, dtype=np.int64)
+                mine = int(np.searchsorted(cuts, i, "right")) - 1
+                one = maps[mine][i - cuts[mine]]
+                differing = np.concatenate([
+                    differing_bits(one, maps[k][max(i + 1, cuts[k]) - cuts[k] : end - cuts[k]])
+                    for k in range(mine, len(maps)) if cuts[k] < end and cuts[k + 1] > i + 1
+                ])
                 fits = (own[i + 1 : end] != own[i]) & ((100 + threshold) * differing <= (100 - threshold) * (n[i] + n[i + 1 : end]))
                 if low != high:
                     fits &= block[i + 1 : end] != block[i]
@@ -389,6 +430,36 @@ def _open_pairs(
     return best.select("best.a", "best.b")
 
 
+def _another_leader(members: DataFrame, joined: DataFrame, led: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs (a, b), led): members of crowded keys with a new leader of theirs, and all leaders so far.
+
+    ``led`` holds (key, leader). The new leader of a key is the member with the fewest rare
+    tokens among the components that had none; a member is paired with the best new leader
+    of all its keys.
+    """
+    of_node = joined.select(F.col("node").alias("fp"), "component")
+    placed = members.select("key", "fp", "rare").join(of_node, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    parts = placed.groupBy("key", "component").agg(F.min(F.struct("rare", "fp")).alias("best")).checkpoint()
+    crowded = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts")).filter(F.col("parts") > CROWD).select("key").checkpoint()
+    had = led.join(crowded, "key", "left_semi").withColumnRenamed("leader", "fp").join(of_node, "fp", "left")
+    had = had.select("key", F.coalesce("component", "fp").alias("component"))
+    free = parts.join(crowded, "key", "left_semi").join(had, ["key", "component"], "left_anti")
+    new = (
+        free.groupBy("key")
+        .agg(F.min(F.struct("best.rare", "best.fp", "component")).alias("to"))
+        .select("key", F.col("to.fp").alias("leader"), F.col("to.rare").alias("rank"), F.col("to.component").alias("own"))
+        .checkpoint()
+    )
+    pairs = (
+        placed.join(new, "key")
+        .filter("component != own")
+        .groupBy(F.col("fp").alias("a"))
+        .agg(F.min(F.struct("rank", "leader")).alias("to"))
+        .select("a", F.col("to.leader").alias("b"))
+    )
+    return pairs.checkpoint(), led.union(new.select("key", "leader"))
+
+
 def jaccard_components(
     docs: DataFrame, *, words: int = WORDS, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -423,7 +494,7 @@ def _placed_rows(docs: DataFrame, words: int, threshold: int, id_col: str, text_
     nodes = (
         sets.filter(F.col("fp").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("fp")
-        .agg(F.min("doc_id").alias("rep"), *(F.min(c).alias(c) for c in ["n_shingles", *_SKETCH]))
+        .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"))
     )
     texts = own.select("text")
     members = shared_keys(texts, frequent_tokens(texts, words, ranges), words, threshold, ranges).checkpoint()
@@ -436,11 +507,27 @@ def _placed_rows(docs: DataFrame, words: int, threshold: int, id_col: str, text_
     )
     links = verified(first, nodes, own, words, threshold).checkpoint()
     joined = components(links)
+
+    def with_more(more: DataFrame) -> DataFrame:
+        return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+
+    led = members.select("key", "leader").distinct()
+    while True:
+        pairs, led = _another_leader(members, joined, led)
+        tried = pairs.count()
+        if not tried:
+            break
+        more = verified(pairs, nodes, own, words, threshold).checkpoint()
+        found = more.count()
+        if found:
+            joined = with_more(more)
+        if found <= PRODUCTIVE * tried:
+            break  # what is left is compared pair by pair
     for turn in range(LIKELIEST_ROUNDS + 1):
         pairs = _open_pairs(members, joined, nodes, threshold, ranges, turn < LIKELIEST_ROUNDS)
-        more = verified(pairs, nodes, own, words, threshold).checkpoint()
+        more = verified(pairs, nodes, own, words, threshold, sieved=True).checkpoint()
         if not more.isEmpty():
-            joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+            joined = with_more(more)
     members_of = nodes.select("fp", "rep").join(joined.withColumnRenamed("node", "fp"), "fp", "left")
     members_of = members_of.select("fp", "rep", F.coalesce("component", "fp").alias("component"))
     smallest = members_of.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -465,28 +552,29 @@ def drop_near_copies(
     a kept row go. Of near copies with one id the text of smallest hash stays, of rows with
     equal id and text one. Rows without id, text or words stay. Texts are not shuffled but
     for those of repeated ids: the keys that go are joined by broadcast where their
-    measured size allows.
+    measured size allows. An empty table gives an empty one; columns may have any names.
     """
     row = ["doc_id", "key", "size"]
     found = _placed_rows(docs, words, threshold, id_col, text_col).filter(F.col("doc_id").isNotNull()).checkpoint()
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(row)
-    again = found.groupBy(F.col("doc_id").alias("__again")).count().filter("count > 1").select("__again").checkpoint()
+    gone_id, gone_key, gone_size, repeated_id = unused(docs, "gone_id", "gone_key", "gone_size", "repeated_id")
+    again = found.groupBy(F.col("doc_id").alias(repeated_id)).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(repeated_id).checkpoint()
     repeats = not again.isEmpty()
     if repeats:
         again = broadcast_if_small(again)
         rivals = (
             found.filter((F.col("doc_id") == F.col("component_id")) & F.col("component").isNotNull())
-            .join(again, F.col("doc_id") == F.col("__again"), "left_semi")
+            .join(again, F.col("doc_id") == F.col(repeated_id), "left_semi")
             .select("component", *row)
             .distinct()
         )
         first = rivals.groupBy("component").agg(F.min(F.struct("key", "size")).alias("first"))
         gone = gone.union(rivals.join(first, "component").filter(F.struct("key", "size") != F.col("first")).select(row))
-    gone = gone.distinct().withColumnsRenamed({c: f"__{c}" for c in row}).checkpoint()
+    gone = gone.distinct().withColumnsRenamed(dict(zip(row, (gone_id, gone_key, gone_size)))).checkpoint()
     key, size = _text_key(F.col(text_col))
-    same = (F.col(id_col) == F.col("__doc_id")) & (key == F.col("__key")) & (size == F.col("__size"))
+    same = (F.col(id_col) == F.col(gone_id)) & (key == F.col(gone_key)) & (size == F.col(gone_size))
     kept = docs.join(broadcast_if_small(gone), same, "left_anti")
     if not repeats:
         return kept
-    repeated = kept.join(again, F.col(id_col) == F.col("__again"), "left_semi").dropDuplicates([id_col, text_col])
-    return kept.join(again, F.col(id_col) == F.col("__again"), "left_anti").unionByName(repeated)
+    repeated = kept.join(again, F.col(id_col) == F.col(repeated_id), "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, F.col(id_col) == F.col(repeated_id), "left_anti").unionByName(repeated)
