@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.names import unused
 from marquee.operators.sizing import broadcast_if_small
 from marquee.session import enable_checkpoints
 
@@ -22,6 +23,9 @@ KINDS = ("email", "ip", "card", "phone")
 DISCOVERED = "id"
 RELIABLE, SETTLED = 0.75, 1e-6
 JOIN_BYTES = 64 << 20
+BLOCK = 64  # items of a text that are gathered at a time
+NEAR = (4096, 64)  # blocks of identifiers for which the spans near them are picked
+CUTS = 256  # spans that are cut out of a piece of text at a time
 
 # The base patterns. Where a run of characters has failed from its beginning it fails from
 # its middle too, so the look-behinds only save time; \G allows a start right after a match.
@@ -43,6 +47,59 @@ _IDENTIFIER = (
 _OPEN, _CLOSE, _OTHER = "\u0001", "\u0002", "\u0003"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it, inside lambdas too."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(items: Column, size: int) -> Column:
+    """The items in arrays of ``size``; no items give one empty array. ``items`` must be bound."""
+    last = F.greatest(F.ceil(F.size(items) / size).cast("int") - 1, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * size + 1, F.lit(size)))
+
+
+def _running(items: Column, advance, emit, kind: str) -> Column:
+    """Array of ``emit(at, item)``; ``at`` starts as 0 and becomes ``advance(at, item)``.
+
+    Spark copies a growing array at each step. So the number at the beginning of each block
+    comes first, and then every block is gathered by itself: a text with very many matches
+    takes time nearly in proportion.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(state, item):
+        return F.struct(
+            advance(state["at"], item).alias("at"),
+            F.concat(state["found"], F.array(emit(state["at"], item))).alias("found"),
+        )
+
+    def gathered(own, at):
+        return F.aggregate(own, F.struct(at.alias("at"), none.alias("found")), one, lambda state: state["found"])
+
+    def of_blocks(blocks):
+        zero = F.array(F.lit(0).cast("int"))
+        starts = F.aggregate(blocks, zero, lambda s, own: F.concat(s, F.array(F.aggregate(own, F.element_at(s, -1), advance))))
+        return F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), gathered))
+
+    return _let(items, lambda own: _let(_blocks(own, BLOCK), of_blocks))
+
+
+def _with_near(items: Column, spans: Column, sizes: tuple[int, ...], body) -> Column:
+    """Array of ``body(item, near)`` with the spans that may overlap the item; items in order of position.
+
+    Spans are narrowed to those of a block of items, then of a smaller block.
+    """
+    if not sizes:
+        return F.transform(items, lambda m: body(m, spans))
+
+    def of_block(own):
+        first, last = F.get(own, F.lit(0)), F.element_at(own, -1)
+        near = F.filter(spans, lambda b: (b["start"] < last["end"]) & (b["end"] > first["start"]))
+        return F.when(F.size(own) > 0, _let(near, lambda n: _with_near(own, n, sizes[1:], body)))
+
+    return F.flatten(F.filter(F.transform(_blocks(items, sizes[0]), of_block), lambda x: x.isNotNull()))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Array of (start, end, text, before) of a pattern's matches, leftmost first and without overlap.
 
@@ -59,22 +116,20 @@ def _matches(text: Column, pattern: str) -> Column:
             F.when(i == 0, part).otherwise(F.substring_index(part, _CLOSE, -1)).alias("rest"),
         ),
     )
-    start = F.struct(
-        F.lit(0).cast("int").alias("at"),
-        F.lit("").alias("rest"),
-        F.array().cast("array<struct<start:int,end:int,match:string,before:string>>").alias("found"),
-    )
+    kind = "struct<start:int,end:int,match:string,before:string>"
 
-    def step(state, row):
-        end = state["at"] + F.length(row["match"])
-        item = F.struct(state["at"].alias("start"), end.alias("end"), row["match"].alias("match"), state["rest"].alias("before"))
-        return F.struct(
-            (end + F.length(row["rest"])).alias("at"),
-            row["rest"].alias("rest"),
-            F.when(row["match"] == "", state["found"]).otherwise(F.concat(state["found"], F.array(item))).alias("found"),
-        )
+    def advance(at, row):
+        return at + F.length(row["match"]) + F.length(row["rest"])
+
+    def item(at, row):
+        end = at + F.length(row["match"])
+        return F.struct(at.alias("start"), end.alias("end"), row["match"].alias("match"), row["before"].alias("before"))
 
-    return F.aggregate(rows, start, step, lambda state: state["found"])
+    def with_before(own):
+        before = lambda i: F.when(i > 0, F.get(own, i - 1)["rest"]).otherwise(F.lit(""))
+        return F.transform(own, lambda row, i: F.struct(row["match"].alias("match"), row["rest"].alias("rest"), before(i).alias("before")))
+
+    return F.filter(_running(_let(rows, with_before), advance, item, kind), lambda m: m["match"] != "")
 
 
 def _digits(match: Column) -> Column:
@@ -125,14 +180,15 @@ def candidates(text: Column, base: Column) -> Column:
     """
     found = F.when(text.rlike("[0-9@]"), _matches(text, _IDENTIFIER))
 
-    def describe(m):
+    def describe(m, near):
         # Backwards, so that the search is anchored and takes a single pass.
         left = F.lower(F.reverse(F.regexp_extract(F.reverse(m["before"]), r"^\s*+(\S++(?:\s++\S++)?+)", 1)))
-        known = F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
+        known = F.exists(near, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("identifier"), left.alias("context"), known.alias("known"))
 
     kind = "array<struct<start:int,end:int,identifier:string,context:string,known:boolean>>"
-    described = F.filter(F.transform(found, describe), lambda c: c["context"] != "")
+    described = _let(F.struct(found.alias("found"), base.alias("base")), lambda s: _with_near(s["found"], s["base"], NEAR, describe))
+    described = F.filter(described, lambda c: c["context"] != "")
     return F.coalesce(described.cast(kind), F.array().cast(kind))
 
 
@@ -229,11 +285,39 @@ def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     )
 
 
+def _redacted(value: Column, spans: Column) -> Column:
+    """The text with each span replaced by its kind; overlapping spans become one, named after the first."""
+    kind = "struct<ahead:boolean,start:int,end:int,kind:string>"
+
+    def emit(at, span):
+        # A cut's own text is what stands between the last cut and it.
+        return F.struct((span["start"] >= at).alias("ahead"), at.alias("start"), span["start"].alias("end"), span["kind"].alias("kind"))
+
+    cuts = _running(spans, lambda at, span: F.greatest(at, span["end"]), emit, kind)
+
+    def of_block(own):
+        first, last = F.get(own, F.lit(0)), F.element_at(own, -1)
+        piece = F.substring(value, first["start"] + 1, last["end"] - first["start"])
+        return _let(
+            F.struct(piece.alias("text"), first["start"].alias("at")),
+            lambda p: F.transform(
+                own,
+                lambda c: F.concat(F.substring(p["text"], c["start"] - p["at"] + 1, c["end"] - c["start"]), F.lit("<"), c["kind"], F.lit(">")),
+            ),
+        )
+
+    parts = _let(F.filter(cuts, lambda c: c["ahead"]), lambda own: F.flatten(F.transform(_blocks(own, CUTS), of_block)))
+    end = F.array_max(F.transform(spans, lambda span: span["end"]))
+    return F.concat(F.array_join(parts, ""), F.substring(value, end + 1, F.length(value)))
+
+
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The rows with each span of personal data replaced by its kind in angle brackets.
 
     Overlapping spans become one, named after the first. Columns stay as they are but for
-    the text; null texts stay null.
+    the text; null texts stay null, and so do texts without spans, empty ones included.
+    Repeated rows are redacted alike, an empty table gives an empty one, and columns may
+    have any names.
     """
     enable_checkpoints(docs.sparkSession)
     text = F.col("text")
@@ -245,24 +329,11 @@ def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
         .checkpoint()
     )
     more = find_discovered(found).checkpoint()
-    more = broadcast_if_small(more.select(F.col("key").alias("__key"), F.col("size").alias("__size"), F.col("more").alias("__more")), JOIN_BYTES)
+    own_key, own_size, own_more, own_spans = unused(docs, "own_key", "own_size", "own_more", "own_spans")
+    more = broadcast_if_small(more.withColumnsRenamed({"key": own_key, "size": own_size, "more": own_more}), JOIN_BYTES)
     value = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.join(more, (F.xxhash64(value) == F.col("__key")) & (F.length(value) == F.col("__size")), "left")
-    spans = F.array_sort(F.concat(base_spans(value), F.coalesce("__more", F.array().cast(_SPAN))))
-    start = F.struct(F.lit(0).cast("int").alias("at"), F.lit("").alias("done"))
-
-    def step(state, span):
-        ahead = span["start"] >= state["at"]
-        between = F.substring(value, state["at"] + 1, span["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(ahead, F.concat(state["done"], between, F.lit("<"), span["kind"], F.lit(">")))
-            .otherwise(state["done"])
-            .alias("done"),
-        )
-
-    redacted = F.aggregate(
-        spans, start, step, lambda state: F.concat(state["done"], F.substring(value, state["at"] + 1, F.length(value)))
-    )
-    changed = F.when(F.col(text_col).isNull() | (F.size(spans) == 0), F.col(text_col)).otherwise(redacted)
-    return joined.withColumn(text_col, changed).drop("__key", "__size", "__more").select(*docs.columns)
+    joined = docs.join(more, (F.xxhash64(value) == F.col(own_key)) & (F.length(value) == F.col(own_size)), "left")
+    spans = F.array_sort(F.concat(base_spans(value), F.coalesce(F.col(own_more), F.array().cast(_SPAN))))
+    spanned = joined.withColumn(own_spans, spans)
+    changed = F.when(F.size(own_spans) > 0, _redacted(F.col(text_col), F.col(own_spans))).otherwise(F.col(text_col))
+    return spanned.withColumn(text_col, changed).select(*docs.columns)

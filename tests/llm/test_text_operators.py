@@ -313,3 +313,29 @@ def test_common_subsequence():
             for j, b in enumerate(window):
                 table[i + 1, j + 1] = table[i, j] + 1 if a == b else max(table[i, j + 1], table[i + 1, j])
         assert got == table[-1, -1]
+
+
+def test_very_many_identifiers_in_one_text(spark):
+    """Time in proportion: 100,000 identifier words, and 20,000 base matches beside them."""
+    many = " ".join(f"key k{i}x" for i in range(100_000))
+    mixed = " ".join(f"mail a{i}@b.org or ref r{i}z" for i in range(20_000))
+    docs = spark.createDataFrame([(1, many), (2, mixed)], "own_key long, text string")
+    found = {r.own_key: r for r in personal_data(docs, id_col="own_key").collect()}
+    assert found[1].n_email == 0 and found[2].n_email == 20_000
+    first = [f"{kind}:{start}:{end}" for start, _, kind, end in base_spans(mixed)[:3]]
+    assert found[2].spans.split(",")[:3] == first
+    clean = {r.own_key: r.text for r in redact(docs).collect()}
+    assert clean[2].count("<email>") == 20_000 and not base_spans(clean[2])
+
+
+def test_redacted_text_is_cut_by_hand(spark):
+    rows = [(1, "x a@b.co y +1 202 555 0100 z 1.2.3.4"), (2, None), (3, ""), (4, "none"), (5, "é a@b.co漢 " * 700)]
+    docs = spark.createDataFrame([(*r, 0, "k") for r in rows], "doc_id long, text string, own_spans int, own_more string")
+    found = {r.doc_id: r.text for r in redact(docs).collect()}
+    for i, text in rows:
+        want, at = "", 0
+        for start, _, kind, end in base_spans(text):
+            if start >= at:
+                want += text[at:start] + f"<{kind}>"
+            at = max(at, end)
+        assert found[i] == (text and want + text[at:])
