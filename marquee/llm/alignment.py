@@ -20,7 +20,6 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -110,13 +109,15 @@ class PieceSide:
         return self.library.encode(texts, num_threads=1)
 
 
-def common_cuts(ids_a: list[int], ids_b: list[int], length_a: list[int], length_b: list[int]) -> tuple[list[int], list[int]]:
+def common_cuts(ids_a, ids_b, length_a, length_b) -> tuple[list[int], list[int]]:
     """Where the groups end in either list: the indexes behind the tokens that end at a common byte.
 
     ``length`` gives the bytes of each id. Tokens without bytes belong to the group before them.
     """
-    ends_a = dict(zip(accumulate(map(length_a.__getitem__, ids_a)), range(1, len(ids_a) + 1)))
-    ends_b = dict(zip(accumulate(map(length_b.__getitem__, ids_b)), range(1, len(ids_b) + 1)))
+    ends_a, ends_b = (
+        dict(zip(np.cumsum(np.asarray(length, np.int64)[np.asarray(ids, np.int64)]).tolist(), range(1, len(ids) + 1)))
+        for ids, length in ((ids_a, length_a), (ids_b, length_b))
+    )
     common = sorted(ends_a.keys() & ends_b.keys())
     return list(map(ends_a.__getitem__, common)), list(map(ends_b.__getitem__, common))
 
@@ -129,7 +130,7 @@ def _sides(definition: str, model: bytes) -> tuple:
     if name not in _SIDES:
         _SIDES.clear()
         a, b = ByteLevelSide(definition), PieceSide(model)
-        _SIDES[name] = (a, b, [len(x) for x in a.bytes], [len(x) for x in b.bytes])
+        _SIDES[name] = (a, b, *(np.array([len(x) for x in side.bytes], np.int64) for side in (a, b)))
     return _SIDES[name]
 
 
@@ -161,7 +162,9 @@ def _packed_rows(docs: DataFrame, definition: str, model: bytes) -> DataFrame:
             for text, a, b in zip(texts, side_a.encode(texts), side_b.encode(texts)):
                 raw = (" " + text).encode()
                 if text and b"".join(map(side_a.bytes.__getitem__, a)) == raw == b"".join(map(side_b.bytes.__getitem__, b)):
-                    rows.append(_packed((a, b, *(np.diff(cuts, prepend=0) for cuts in common_cuts(a, b, length_a, length_b)))))
+                    a, b = np.array(a, np.int64), np.array(b, np.int64)
+                    cuts = (np.array([0, *own], np.int64) for own in common_cuts(a, b, length_a, length_b))
+                    rows.append(_packed((a, b, *(own[1:] - own[:-1] for own in cuts))))
                 else:
                     rows.append(_packed(((), (), (), ())))
             return pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.binary())], names=["doc_id", "lists"])
