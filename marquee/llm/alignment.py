@@ -4,6 +4,10 @@ The cumulative byte ends of either side become a dictionary from end to index. W
 have an end (an intersection of hash sets), the sorted common ends cut both id lists into
 groups; inside a group every token of one side is linked with every token of the other.
 
+Neither tokenizer joins signs across a space between two words, so no group does. Texts are
+cut there, a worker keeps the groups of the stretches that it has met, and a text's lists are
+those of its stretches one after another.
+
 Three passes: encode and cut (written to the shared folder in a compact form, so no text is
 encoded twice); count for each pair of ids the documents that hold it linked; add the counts
 up. Links are expanded in numpy for a slice of documents at a time. Pairs are counted inside
@@ -20,6 +24,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +34,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.pieces import gather
 from marquee.llm.words import give_back
 from marquee.session import enable_checkpoints, scratch_path
 
@@ -37,6 +43,9 @@ SLICE_BYTES = 1 << 18  # text that is encoded at a time
 SLICE_TOKENS = 200_000  # tokens whose links are expanded at a time
 LINKS_AT_ONCE = 4_000_000  # links of one document that are expanded at a time
 PAIRS_HELD = 1_000_000  # pairs that a task collects before it adds up their counts
+STRETCHES_HELD = 300_000  # stretches of text in a worker's cache; it starts anew when full
+TOKENS_HELD = 4_000_000  # places for their tokens; more start the cache anew too
+LONG_STRETCH = 64  # signs; longer stretches do not stay in the cache
 
 _SEPARATOR = "▁"
 # How byte-level vocabularies of this family split a text. A fixed value.
@@ -46,6 +55,12 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 _OLD_BLOCKS = re.compile("[\\x00-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u045f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]*")
 
 
+# Where a text may be cut: at a space with no white space beside it.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+# A text to tell whether a library leaves all signs as they are.
+_PROBE = "a\tb\nc ﬁ\u00a0\u00b4 e\u0301 Å"
+
+
 def byte_level_bytes() -> dict[str, int]:
     """The byte that each sign of a byte-level vocabulary stands for.
 
@@ -73,6 +88,14 @@ class ByteLevelSide:
             known = token not in special and all(c in signs for c in token)
             self.bytes[i] = bytes(signs[c] for c in token) if known else token.encode()
         self.quick = self._ranked(vocabulary, special)
+        self.separable = self._splits_at_spaces()
+
+    def _splits_at_spaces(self) -> bool:
+        """Whether the file splits texts by the pattern above, and nothing else sees more than one part."""
+        definition = json.loads(self.library.to_str())
+        first = definition.get("pre_tokenizer") or {}
+        by_pattern = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
+        return bool(by_pattern) and definition.get("normalizer") is None and all(t["special"] for t in definition.get("added_tokens") or [])
 
     def _ranked(self, vocabulary: dict[str, int], special: set[str]):
         """The same vocabulary for the faster library, if its ids stand in the order of its merges; else None."""
@@ -104,39 +127,145 @@ class PieceSide:
             bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace(_SEPARATOR, " ").encode()
             for i, p in enumerate(pieces)
         ]
+        # Separators only begin a piece, and nothing is rewritten, so a word begins a piece too.
+        alone = not any(_SEPARATOR in p.lstrip(_SEPARATOR) for p in pieces)
+        self.separable = alone and b"".join(map(self.bytes.__getitem__, self.encode([_PROBE])[0])) == (" " + _PROBE).encode()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.library.encode(texts, num_threads=1)
 
 
-def common_cuts(ids_a, ids_b, length_a, length_b) -> tuple[list[int], list[int]]:
+def common_cuts(ids_a: list[int], ids_b: list[int], length_a: list[int], length_b: list[int]) -> tuple[list[int], list[int]]:
     """Where the groups end in either list: the indexes behind the tokens that end at a common byte.
 
     ``length`` gives the bytes of each id. Tokens without bytes belong to the group before them.
     """
-    ends_a, ends_b = (
-        dict(zip(np.cumsum(np.asarray(length, np.int64)[np.asarray(ids, np.int64)]).tolist(), range(1, len(ids) + 1)))
-        for ids, length in ((ids_a, length_a), (ids_b, length_b))
-    )
+    ends_a = dict(zip(accumulate(map(length_a.__getitem__, ids_a)), range(1, len(ids_a) + 1)))
+    ends_b = dict(zip(accumulate(map(length_b.__getitem__, ids_b)), range(1, len(ids_b) + 1)))
     common = sorted(ends_a.keys() & ends_b.keys())
     return list(map(ends_a.__getitem__, common)), list(map(ends_b.__getitem__, common))
 
 
-_SIDES: dict[int, tuple] = {}  # of this worker process
+class Rows:
+    """Lists of 32-bit numbers end to end, in arrays that double when they are full."""
+
+    def __init__(self):
+        self.data, self.bounds, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, data: np.ndarray, bounds: np.ndarray) -> None:
+        """More lists; ``bounds`` is where each ends."""
+        low = self.bounds[self.n]
+        while len(self.data) < low + len(data):
+            self.data = np.concatenate((self.data, np.zeros_like(self.data)))
+        while len(self.bounds) <= self.n + len(bounds):
+            self.bounds = np.concatenate((self.bounds, np.zeros_like(self.bounds)))
+        self.data[low : low + len(data)] = data
+        self.bounds[self.n + 1 : self.n + 1 + len(bounds)] = low + bounds
+        self.n += len(bounds)
+
+    def take(self, rows: np.ndarray, per_text: np.ndarray) -> list[np.ndarray]:
+        """The chosen lists one after another, a list for each run of ``per_text`` rows."""
+        start = self.bounds[rows]
+        length = self.bounds[rows + 1] - start
+        ends = np.concatenate(([0], np.cumsum(length)))[np.cumsum(per_text)]
+        return np.split(gather(self.data, start, length), ends[:-1])
+
+
+class Aligner:
+    """Lists (a, b, size_a, size_b) of texts; those of stretches met before are kept."""
+
+    def __init__(self, side_a, side_b):
+        self.a, self.b = side_a, side_b
+        self.length_a, self.length_b = ([len(x) for x in side.bytes] for side in (side_a, side_b))
+        self.separable = side_a.separable and side_b.separable
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}  # row of each stretch, -1 if its tokens do not spell it
+        self.rows = [Rows() for _ in range(4)]
+
+    def _spelt(self, text: str, a: list[int], b: list[int]) -> bool:
+        bytes_a, bytes_b = self.a.bytes.__getitem__, self.b.bytes.__getitem__
+        return text != "" and b"".join(map(bytes_a, a)) == (" " + text).encode() == b"".join(map(bytes_b, b))
+
+    def whole(self, texts: list[str]) -> Iterator[tuple | None]:
+        """Lists of texts that are encoded as they are; None where the tokens do not spell the text."""
+        for text, a, b in zip(texts, self.a.encode(texts), self.b.encode(texts)):
+            if self._spelt(text, a, b):
+                cuts = common_cuts(a, b, self.length_a, self.length_b)
+                yield np.array(a, np.int32), np.array(b, np.int32), *(np.diff(np.array(own, np.int32), prepend=0) for own in cuts)
+            else:
+                yield None
+
+    def _learn(self, plain: list[str], odd: list[str]) -> None:
+        """Stretches are encoded as one text, whose lists are then cut at their ends; odd ones singly."""
+        text = " ".join(plain)
+        (a,) = self.a.encode([text])
+        # This library is slower on long texts.
+        b = list(chain.from_iterable(self.b.encode([" ".join(plain[i : i + 8]) for i in range(0, len(plain), 8)])))
+        if self._spelt(text, a, b):
+            cut_a, cut_b = (np.array([0, *own], np.int32) for own in common_cuts(a, b, self.length_a, self.length_b))
+            byte_ends = np.array([0, *accumulate(map(self.length_a.__getitem__, a))])
+            ends = np.cumsum([len(s.encode()) + 1 for s in plain])
+            last = np.searchsorted(byte_ends[cut_a], ends)  # group that ends with each stretch
+            self._keep(plain, (np.array(a, np.int32), np.array(b, np.int32), np.diff(cut_a), np.diff(cut_b)), (cut_a[last], cut_b[last], last, last))
+        else:
+            odd = odd + plain
+        for s, lists in zip(odd, self.whole(odd)):
+            if lists is None:
+                self.place[s] = -1
+            else:
+                self._keep([s], lists, [np.array([len(x)]) for x in lists])
+
+    def _keep(self, stretches: list[str], lists, bounds) -> None:
+        self.place.update(zip(stretches, range(self.rows[0].n, self.rows[0].n + len(stretches))))
+        for rows, *more in zip(self.rows, lists, bounds):
+            rows.add(*more)
+
+    def __call__(self, texts: list[str]) -> list[tuple | None]:
+        if not self.separable:
+            return list(self.whole(texts))
+        parts = [t.split(" ") for t in texts]
+        new = set().union(*parts).difference(self.place)
+        odd = _odd(new)
+        if odd:
+            parts = [own if odd.isdisjoint(own) else _CUT.split(t) for t, own in zip(texts, parts)]
+            new = set().union(*parts).difference(self.place)
+        if len(self.place) + len(new) > STRETCHES_HELD or len(self.rows[0].data) > TOKENS_HELD:
+            self.clear()
+            new = set().union(*parts)
+        odd = _odd(new)
+        self._learn(list(new - odd), list(odd))
+        rows = np.fromiter(map(self.place.__getitem__, chain.from_iterable(parts)), np.int64)
+        per_text = np.array([len(own) for own in parts])
+        found = list(zip(*(x.take(np.maximum(rows, 0), per_text) for x in self.rows)))
+        unspelt = np.repeat(np.arange(len(texts)), per_text)[rows < 0]
+        for i in np.unique(unspelt).tolist():  # where a stretch is not spelt, only the text as a whole tells
+            (found[i],) = self.whole([texts[i]])
+        for s in odd.union(s for s in new if len(s) > LONG_STRETCH):
+            del self.place[s]
+        return found
+
+
+def _odd(stretches: set[str]) -> set[str]:
+    """Those that are empty, have white space at an end or hold the piece library's own sign for a space."""
+    return {s for s in stretches if not s or _SEPARATOR in s or s.strip() != s}
+
+
+_ALIGNERS: dict[int, Aligner] = {}  # of this worker process
 
 
-def _sides(definition: str, model: bytes) -> tuple:
+def _aligner(definition: str, model: bytes) -> Aligner:
     name = hash((definition, model))
-    if name not in _SIDES:
-        _SIDES.clear()
-        a, b = ByteLevelSide(definition), PieceSide(model)
-        _SIDES[name] = (a, b, *(np.array([len(x) for x in side.bytes], np.int64) for side in (a, b)))
-    return _SIDES[name]
+    if name not in _ALIGNERS:
+        _ALIGNERS.clear()
+        _ALIGNERS[name] = Aligner(ByteLevelSide(definition), PieceSide(model))
+    return _ALIGNERS[name]
 
 
-def _packed(lists: tuple) -> bytes:
-    """Four lists of whole numbers, each in the smallest type that holds it."""
-    arrays = [np.asarray(x, np.int64) for x in lists]
+def _packed(lists: tuple | None) -> bytes:
+    """Four lists of whole numbers (none: empty ones), each in the smallest type that holds it."""
+    arrays = lists or [np.zeros(0, np.int32)] * 4
     kinds = [np.min_scalar_type(int(x.max())) if len(x) else np.dtype(np.uint8) for x in arrays]
     head = np.array([[k.itemsize, len(x)] for k, x in zip(kinds, arrays)], np.int64)
     return head.tobytes() + b"".join(x.astype(k).tobytes() for k, x in zip(kinds, arrays))
@@ -155,18 +284,10 @@ def _packed_rows(docs: DataFrame, definition: str, model: bytes) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((definition, model))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b, length_a, length_b = _sides(*shared.value)
+        aligner = _aligner(*shared.value)
 
         def of_slice(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            rows = []
-            for text, a, b in zip(texts, side_a.encode(texts), side_b.encode(texts)):
-                raw = (" " + text).encode()
-                if text and b"".join(map(side_a.bytes.__getitem__, a)) == raw == b"".join(map(side_b.bytes.__getitem__, b)):
-                    a, b = np.array(a, np.int64), np.array(b, np.int64)
-                    cuts = (np.array([0, *own], np.int64) for own in common_cuts(a, b, length_a, length_b))
-                    rows.append(_packed((a, b, *(own[1:] - own[:-1] for own in cuts))))
-                else:
-                    rows.append(_packed(((), (), (), ())))
+            rows = list(map(_packed, aligner(texts)))
             return pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.binary())], names=["doc_id", "lists"])
 
         for batch in batches:

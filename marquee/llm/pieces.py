@@ -165,7 +165,7 @@ def encode_words(vocabulary: Vocabulary, words: list[str], merges: bool) -> list
     return result
 
 
-def _gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+def gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The spans of the pool one after another."""
     total = np.cumsum(length)
     if not len(total) or total[-1] == 0:
@@ -219,13 +219,13 @@ class Encoder:
         at = at[inverse[order]]
         start, length = self.start[at], self.length[at]
         per_text = np.bincount(text[order], length, minlength=len(words.first) - 1).astype(np.int64)
-        return _gather(self.pool, start, length), np.concatenate(([0], np.cumsum(per_text)))
+        return gather(self.pool, start, length), np.concatenate(([0], np.cumsum(per_text)))
 
 
 def decode(vocabulary: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes of all texts, n + 1 bounds); the space that encoding put before each text goes."""
     start, length = vocabulary.pool_start[ids], np.diff(vocabulary.pool_start)[ids]
-    data = _gather(vocabulary.pool, start, length)
+    data = gather(vocabulary.pool, start, length)
     ends = np.concatenate(([0], np.cumsum(length)))[bounds]
     opening = ends[:-1][np.diff(ends) > 0]
     drop = opening[data[opening] == 0x20]

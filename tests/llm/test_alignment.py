@@ -11,7 +11,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from marquee.llm.alignment import _OLD_BLOCKS, ByteLevelSide, align_texts, alignment_digest, byte_level_bytes, common_cuts, linked_pairs
+from marquee.llm import alignment
+from marquee.llm.alignment import _OLD_BLOCKS, Aligner, ByteLevelSide, PieceSide, align_texts, alignment_digest, byte_level_bytes, common_cuts, linked_pairs
 
 TEXTS = [
     "The cat sat on the mat.", "The cat sat on the mat.", "", None, " ", "  two  spaces ", "tabs\tand\nlines\r\n", "<|endoftext|> <s> </s> <unk> <0x41>",
@@ -129,3 +130,18 @@ def test_both_byte_level_libraries_agree_on_old_blocks(files):
     texts = [f" a{c}b {c}1{c} {c}{c}  {c}'s.{c} \n{c}" for c in signs]
     slow = [e.ids for e in side.library.encode_batch(texts, add_special_tokens=False)]
     assert [side.quick.encode_ordinary(t) for t in texts] == slow
+
+
+@pytest.mark.parametrize("held", [300_000, 5])
+def test_lists_of_stretches_equal_those_of_the_whole_text(files, held, monkeypatch):
+    monkeypatch.setattr(alignment, "STRETCHES_HELD", held)
+    rng = random.Random(5)
+    signs = [" ", " ", " ", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u0085", "\u2003", "\u3000", "a", "The", "'s", "'", "12", "é", "漢", "!", "🏳", "\x00", "▁", "b" * 70]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choices(signs, k=rng.randint(1, 25))) for _ in range(4000)]
+    aligner = Aligner(ByteLevelSide(files[0]), PieceSide(files[1]))
+    assert aligner.separable
+    wanted = list(aligner.whole(texts))
+    for step in (4100, 50):  # the second time with some stretches known
+        found = [x for i in range(0, len(texts), step) for x in aligner(texts[i : i + step])]
+        assert [None if x is None or not len(x[0]) else [y.tolist() for y in x] for x in found] == [x and [y.tolist() for y in x] for x in wanted]
+    assert max(map(len, aligner.place), default=0) <= alignment.LONG_STRETCH
