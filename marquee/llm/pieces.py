@@ -10,11 +10,16 @@ start and length. From this table
   leftmost of equal ones, until no pair is a piece. The library's result for such a
   vocabulary is defined by merges, and the path of highest score differs from it.
 
+Words of over ``LONG_WORD`` characters are encoded one by one, by the same recursions over the
+pieces themselves: merges from a heap of neighbouring pairs, paths by a loop over the
+positions. Time and memory grow with their length (times its logarithm for merges).
+
 Characters without a piece become byte pieces.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +33,7 @@ from marquee.llm.words import AS_IS, SPACE_ONLY, mix, word_slices
 
 CACHE_TOKENS = 2_500_000  # ids in a worker's cache of encoded words; it starts anew when full
 BATCH_CELLS = 2_000_000  # entries of one batch's piece table
+LONG_WORD = 256  # characters from which a word is no longer part of a batch
 UNKNOWN_SCORE = -1e4
 
 _U = np.uint64
@@ -50,6 +56,10 @@ class Vocabulary:
         hashes = np.array([_hash_of(text[i]) for i in usable], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.ids, self.scores = hashes[order], usable[order], score[usable[order]]
+        self.id_of = {text[i]: int(i) for i in usable}
+        self.score_of = {text[i]: float(score[i]) for i in usable}
+        # Place of each piece in the order of merges; pieces of equal score share it.
+        self.rank_of = dict(zip((text[i] for i in usable), np.unique(-score[usable], return_inverse=True)[1].tolist()))
         self.byte_ids = np.full(256, library.unk_id())
         for i in np.flatnonzero(is_byte):
             self.byte_ids[int(text[i][3:5], 16)] = i
@@ -135,11 +145,76 @@ def best_merges(score: np.ndarray) -> np.ndarray:
     return begins[:, :width]
 
 
+def merged_bounds(rank_of: dict[str, int], longest: int, word: str) -> list[int]:
+    """Where the pieces of one word begin, and its end, as ``best_merges`` has them.
+
+    The heap holds pairs of neighbours as one number: rank, start and length. A pair that has
+    changed since is told by its length, since a span of the same length is the same piece.
+    """
+    n = len(word)
+    wide, deep = n.bit_length() + 1, longest.bit_length()
+    mask = (1 << wide) - 1
+    size, before = [1] * n, [1] * (n + 1)  # length of the symbol from each position, and of the one up to it
+    heap = [
+        (rank_of[pair] << wide | i) << deep | 2
+        for i, pair in enumerate(map(str.__add__, word, word[1:]))
+        if longest > 1 and pair in rank_of
+    ]
+    heapq.heapify(heap)
+    while heap:
+        top = heapq.heappop(heap)
+        length, start = top & ((1 << deep) - 1), top >> deep & mask
+        end, middle = start + length, start + size[start]
+        if not size[start] or middle >= end or size[middle] != end - middle:
+            continue
+        size[middle] = 0
+        size[start] = before[end] = length
+        if start:
+            left = start - before[start]
+            rank = rank_of.get(word[left:end]) if end - left <= longest else None
+            if rank is not None:
+                heapq.heappush(heap, (rank << wide | left) << deep | end - left)
+        if end < n:
+            right = end + size[end]
+            rank = rank_of.get(word[start:right]) if right - start <= longest else None
+            if rank is not None:
+                heapq.heappush(heap, (rank << wide | start) << deep | right - start)
+    return [i for i, own in enumerate(size) if own] + [n]
+
+
+def path_bounds(score_of: dict[str, float], longest: int, word: str) -> list[int]:
+    """Where the pieces of one word begin, and its end, as ``best_paths`` has them."""
+    n = len(word)
+    best, back = [0.0] * (n + 1), [1] * (n + 1)
+    for end in range(1, n + 1):
+        top = best[end - 1] + score_of.get(word[end - 1], UNKNOWN_SCORE)
+        for length in range(2, min(longest, end) + 1):
+            own = score_of.get(word[end - length : end])
+            if own is not None and best[end - length] + own > top:
+                top, back[end] = best[end - length] + own, length
+        best[end] = top
+    bounds = [n]
+    while bounds[-1]:
+        bounds.append(bounds[-1] - back[bounds[-1]])
+    return bounds[::-1]
+
+
+def _long_word(vocabulary: Vocabulary, word: str, merges: bool) -> np.ndarray:
+    scores, bounds = (vocabulary.rank_of, merged_bounds) if merges else (vocabulary.score_of, path_bounds)
+    cuts, ids = bounds(scores, vocabulary.longest, word), []
+    for i, j in zip(cuts, cuts[1:]):
+        own = vocabulary.id_of.get(word[i:j])
+        ids.extend(vocabulary.byte_ids[list(word[i:j].encode())].tolist() if own is None else (own,))
+    return np.array(ids, np.int32)
+
+
 def encode_words(vocabulary: Vocabulary, words: list[str], merges: bool) -> list[np.ndarray]:
     """Ids of each word; a word carries its separators as characters."""
     result: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
     lengths = np.array([len(w) for w in words])
-    for width in np.unique(lengths[lengths > 0]):
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        result[i] = _long_word(vocabulary, words[i], merges)
+    for width in np.unique(lengths[(lengths > 0) & (lengths <= LONG_WORD)]):
         group = np.flatnonzero(lengths == width)
         step = max(1, BATCH_CELLS // int(width * min(width, vocabulary.longest)))
         for low in range(0, len(group), step):

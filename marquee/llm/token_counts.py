@@ -22,6 +22,7 @@ from marquee.llm.words import AS_IS, SPACE_ONLY, mix, word_slices
 
 TABLE_SIZE = 16384  # pre-tokens in the broadcast table: 16384 * 12 bytes
 TASK_SUMMARY = 4096  # pre-tokens that each task proposes for it
+LONGEST = 64  # bytes and spaces of a pre-token in the summaries; longer ones are left to the caches
 CACHE_SIZE = 400_000  # pre-tokens in a worker's cache; it starts anew when full
 
 _SEPARATOR = "▁"  # SentencePiece's own sign for a space; in a text it counts as one
@@ -65,6 +66,9 @@ class PreTokens:
         self.trailing = bounds[1:] - last
         self.trailing[(self.trailing > 0) & ~some] += 1
 
+    def sizes(self) -> np.ndarray:
+        return self.words.end - self.words.start + self.spaces
+
     def text(self, i: int) -> str:
         w = self.words
         return " " * (int(self.spaces[i]) - 1) + w.data[w.start[i] : w.end[i]].tobytes().decode()
@@ -74,7 +78,8 @@ def frequent_pre_tokens(texts: DataFrame, text_col: str) -> DataFrame:
     """(key, pre-token, times) of the commonest pre-tokens, by a bounded summary of every task.
 
     Counts are lower bounds, since a task forgets rare entries whenever its summary is
-    full. Only speed depends on them.
+    full. Only speed depends on them. Pre-tokens of over ``LONGEST`` bytes are left out, so
+    the driver gets TABLE_SIZE * LONGEST bytes at most.
     """
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +96,7 @@ def frequent_pre_tokens(texts: DataFrame, text_col: str) -> DataFrame:
             for _, _, words in word_slices(plain_spaces(batch.column(0)), SPACE_ONLY, AS_IS):
                 found = PreTokens(words)
                 new, first, counts = np.unique(found.keys, return_index=True, return_counts=True)
-                often = counts > 1
+                often = (counts > 1) & (found.sizes()[first] <= LONGEST)
                 new, first, counts = new[often], first[often], counts[often]
                 for k, i in zip(new.tolist(), first.tolist()):
                     if k not in sample:
@@ -159,7 +164,7 @@ def count_tokens(
     """
     check_separable(model)
     spark = docs.sparkSession
-    table = frequent_pre_tokens(docs, text_col).toPandas()  # at most TABLE_SIZE rows
+    table = frequent_pre_tokens(docs, text_col).toPandas()  # at most TABLE_SIZE rows of LONGEST bytes
     keys = table["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     lengths = np.array([len(x) for x in _library(model).encode(table["token"].tolist())], np.int32)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter
 
 import numpy as np
@@ -106,6 +107,46 @@ PERSONAL = [
 ]
 
 
+def test_long_words_equal_the_library(model, library):
+    rng = np.random.default_rng(11)
+    vocabulary = pieces.Vocabulary(model)
+    signs = ["abcdefghijklmnop", "ab", "aé漢字かな🏳x", "0123456789ABCDEFabcdef+/=", "\x00a", " e"]
+    words = ["▁" + "".join(rng.choice(list(own), n)).replace(" ", "▁") for own in signs for n in (257, 300, 5000)] + ["▁" * 3000, "▁" + "a" * 3000, "▁" + "the" * 1000]
+    for word, ids in zip(words, pieces.encode_words(vocabulary, words, merges=True)):
+        assert ids.tolist() == library.encode(word[1:].replace("▁", " ")), word[:40]
+
+
+@pytest.mark.parametrize("merges", [True, False])
+def test_long_words_equal_batches(model, merges, monkeypatch):
+    rng = np.random.default_rng(12)
+    vocabulary = pieces.Vocabulary(model)
+    words = ["▁" + "".join(rng.choice(list("etaoinsh漢🏳1"), n)) for n in rng.integers(1, 120, 300)]
+    wanted = [ids.tolist() for ids in pieces.encode_words(vocabulary, words, merges)]
+    monkeypatch.setattr(pieces, "LONG_WORD", 0)
+    assert [ids.tolist() for ids in pieces.encode_words(vocabulary, words, merges)] == wanted
+
+
+def test_one_word_of_100_000_signs(spark, model, library):
+    text = "".join(np.random.default_rng(13).choice(list("abcdefghijklmnopqrstuvwxyz0123456789+/"), 100_000))
+    frame = spark.createDataFrame([(1, text), (2, text + " " + text)], "doc_id long, text string")
+    wanted = library.encode(text)
+    found = {r.doc_id: r for r in pieces.encode_texts(frame, model).collect()}
+    assert found[1].ids == wanted and found[2].ids == wanted * 2 and found[2].round_trip
+    counted = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame, model).collect()}
+    assert counted == {1: len(wanted), 2: 2 * len(wanted)}
+    vocabulary = pieces.Vocabulary(model)
+    start = time.process_time()
+    for merges in (True, False):
+        assert len(pieces.encode_words(vocabulary, ["▁" + text], merges)[0])
+    assert time.process_time() - start < 10  # the square of the length takes minutes
+
+
+def test_long_pre_tokens_stay_out_of_the_summary(spark):
+    frame = spark.createDataFrame([(("x" * 1000 + " word ") * 5,)], "text string")
+    assert [r.token for r in token_counts.frequent_pre_tokens(frame, "text").collect()] == ["word"]
+
+
+
 def test_base_personal_data(spark, sf_dir):
     odd = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(PERSONAL)], "doc_id long, text string")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").union(odd)
