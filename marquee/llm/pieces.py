@@ -53,7 +53,11 @@ class Vocabulary:
         score = np.array([library.get_score(i) for i in range(n)])
         usable = np.flatnonzero(~special & ~is_byte)
         self.longest = max(len(text[i]) for i in usable)
-        hashes = np.array([_hash_of(text[i]) for i in usable], np.uint64)
+        hashes, length = np.zeros(len(usable), np.uint64), np.array([len(text[i]) for i in usable])
+        for m in np.unique(length):
+            same = np.flatnonzero(length == m)
+            symbols = np.array([[ord(c) for c in text[usable[k]]] for k in same], np.uint64)
+            hashes[same] = substring_hashes(symbols, m)[-1][:, 0]
         order = np.argsort(hashes)
         self.hashes, self.ids, self.scores = hashes[order], usable[order], score[usable[order]]
         self.id_of = {text[i]: int(i) for i in usable}
@@ -72,10 +76,6 @@ class Vocabulary:
         self.pool_start = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
 
 
-def _hash_of(piece: str) -> np.uint64:
-    return substring_hashes(np.array([[ord(c) for c in piece]], np.uint64), len(piece))[-1][0, 0]
-
-
 def substring_hashes(symbols: np.ndarray, longest: int) -> list[np.ndarray]:
     """For m = 1..longest the hashes of all substrings of m code points of each row."""
     n, width = symbols.shape
@@ -128,8 +128,10 @@ def best_merges(score: np.ndarray) -> np.ndarray:
     bounds = np.tile(np.arange(width + 2), (n, 1))  # starts of the symbols left; further ones are width
     bounds[:, width + 1] = width
     live = np.arange(n)
-    while len(live) and bounds.shape[1] > 3:
-        own = bounds[live]
+    for used in range(width + 2, 3, -1):  # every live word loses one symbol a round
+        if not len(live):
+            break
+        own = bounds[live, :used]
         length = own[:, 2:] - own[:, :-2]
         start = np.minimum(own[:, :-2], width - 1)
         real = (own[:, 1:-1] < width) & (length <= longest)
@@ -137,9 +139,9 @@ def best_merges(score: np.ndarray) -> np.ndarray:
         chosen = value.argmax(1)
         some = ~np.isneginf(value[np.arange(len(live)), chosen])
         live, chosen = live[some], chosen[some]
-        column = np.arange(bounds.shape[1] - 1)
+        column = np.arange(used - 1)
         own = own[some]
-        bounds[live, :-1] = np.where(column > chosen[:, None], own[:, 1:], own[:, :-1])
+        bounds[live, : used - 1] = np.where(column > chosen[:, None], own[:, 1:], own[:, :-1])
     begins = np.zeros((n, width + 1), bool)
     np.put_along_axis(begins, bounds, True, axis=1)
     return begins[:, :width]
@@ -228,10 +230,11 @@ def encode_words(vocabulary: Vocabulary, words: list[str], merges: bool) -> list
             end[np.append(row[1:] != row[:-1], True)] = width
             at = place[row, start, np.minimum(end - start, place.shape[2]) - 1]
             ids = np.where(at >= 0, vocabulary.ids[at], -1).astype(np.int32)
-            cuts = np.searchsorted(row, np.arange(len(part) + 1))
-            for k, i in enumerate(part):
+            cuts = np.searchsorted(row, np.arange(len(part) + 1)).tolist()
+            in_bytes = set(row[ids < 0].tolist())
+            for k, i in enumerate(part.tolist()):
                 own = ids[cuts[k] : cuts[k + 1]]
-                if (own < 0).any():
+                if k in in_bytes:
                     own = np.concatenate([
                         [x] if x >= 0 else vocabulary.byte_ids[np.frombuffer(words[i][s].encode(), np.uint8)]
                         for x, s in zip(own, start[cuts[k] : cuts[k + 1]])
