@@ -5,10 +5,13 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.session import enable_checkpoints
+
 FOLDS = 5
+SAMPLE_BYTES = 32 << 20  # UTF-8 bytes of the sampled texts of each class, at most
 
 
 def held_out(doc_id: Column) -> Column:
@@ -16,14 +19,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, bound: int, id_col: str, text_col: str):
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_col: str, bound: int, id_col: str, text_col: str, max_bytes: int = SAMPLE_BYTES
+):
     """(text, label) of at most ``bound`` training documents of each class, and the size of each class.
 
     The sample is the rows of smallest hash of the id, so it is the same in every run. Its
-    ids are broadcast (2 * bound rows at most), hence no text is shuffled. Labels other
-    than 0 and 1 are left out; a document labelled twice counts as 1 if any label is.
-    Equal texts enter once.
+    ids are broadcast (2 * bound rows at most), hence no text is shuffled but the sample's.
+    Labels other than 0 and 1 are left out; a document labelled twice counts as 1 if any
+    label is. Of a repeated id the text of smallest hash enters, and equal texts enter
+    once. The texts of a class have ``max_bytes`` at most, in that order, unless the first
+    has more by itself; a text is taken whole or not at all. A null text is empty, rows
+    without id are left out, and without labels or documents the sample has no row.
     """
+    enable_checkpoints(docs.sparkSession)
     usable = (
         labels.filter(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
         .groupBy(id_col)
@@ -35,11 +44,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, bound: i
     sample = (
         docs.select(F.col(id_col).alias("sample_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "sample_id")
-        .groupBy(F.xxhash64("text").alias("same"))
-        .agg(F.min(F.struct("sample_id", "label", "text")).alias("row"))
-        .select("row.text", "row.label")
+        .withColumn("same", F.xxhash64("text"))
+        .groupBy("sample_id")
+        .agg(F.min(F.struct("same", "text", "label")).alias("row"))
+        .groupBy("row.same")
+        .agg(F.min(F.struct("sample_id", "row.label", "row.text")).alias("row"))
+        .select("row.*")
+        .checkpoint()
     )
+    # Ids and lengths only: 2 * bound rows at most.
+    before = Window.partitionBy("label").orderBy(F.xxhash64("sample_id"), "sample_id").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.octet_length("text").cast("long")
+    running = sample.select("sample_id", "label", size.alias("size")).withColumn("before", F.sum("size").over(before))
+    fitting = running.filter(F.col("before").isNull() | (F.col("before") + F.col("size") <= max_bytes)).select("sample_id")
     sizes = {row["label"]: row["n"] for row in usable.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sample = sample.join(F.broadcast(fitting), "sample_id", "left_semi").select("text", "label")
     return sample, (sizes.get(0, 0), sizes.get(1, 0))
 
 

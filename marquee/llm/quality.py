@@ -1,7 +1,7 @@
 """Quality classifier: naive Bayes log-count ratios as feature scales of a linear hinge-loss model.
 
 Features are indicators of byte n-grams (1 to 4 bytes) and of runs of the same word (2 to
-5 times in a row), hashed to a fixed number of cells. An indicator is scaled by the
+5 times in a row), the n-grams hashed to a fixed number of cells. An indicator is scaled by the
 logarithm of its smoothed class-count ratio; a support vector machine is then fitted to
 the scaled, length-normalised rows by dual coordinate descent.
 """
@@ -16,13 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.labels import held_out, labelled_sample, logistic_fit, sigmoid
+from marquee.llm.labels import SAMPLE_BYTES, held_out, labelled_sample, logistic_fit, sigmoid
 from marquee.llm.words import split, text_slices
 
 SAMPLE_PER_CLASS = 4096  # labelled documents of each class that the model is fitted on, at most
 CELLS = 1 << 18
 NGRAMS = (1, 2, 3, 4)
 RUNS = (2, 3, 4, 5)
+OWN_CELLS = 8  # the first cells are of repetitions alone
 SMOOTHING, COST, EPOCHS, BLEND = 1.0, 1.0, 20, 0.25
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -46,7 +47,9 @@ class Indicators:
         grams, code = [], np.zeros(len(data), np.uint64)
         for n in NGRAMS:
             code = code[: len(data) - n + 1] * np.uint64(256) + data[n - 1 :]
-            grams.append((((code + np.uint64(n << 40)) * _ODD) >> np.uint64(46)).astype(np.int32))
+            cells = (((code + np.uint64(n << 40)) * _ODD) >> np.uint64(46)).astype(np.int32)
+            cells[cells < OWN_CELLS] += OWN_CELLS
+            grams.append(cells)
         for i in range(len(bounds) - 1):
             low, high = bounds[i], bounds[i + 1]
             cells = np.concatenate([g[low : max(low, high - n + 1)] for n, g in zip(NGRAMS, grams)])
@@ -125,13 +128,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_quality(
     docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id",
-    text_col: str = "text", sample_per_class: int = SAMPLE_PER_CLASS,
+    text_col: str = "text", sample_per_class: int = SAMPLE_PER_CLASS, sample_bytes: int = SAMPLE_BYTES,
 ) -> np.ndarray | float:
     """The fitted model, or a constant score where only one class or none is labelled.
 
-    One task fits the bounded sample; nothing here grows with the input but the scan.
+    One task fits the sample, which is bounded in documents and bytes; nothing here grows
+    with the input but the scan. Nulls, repeated ids and empty tables as in labelled_sample().
     """
-    sample, sizes = labelled_sample(docs, labels, label_col, sample_per_class, id_col, text_col)
+    sample, sizes = labelled_sample(docs, labels, label_col, sample_per_class, id_col, text_col, sample_bytes)
     if min(sizes) == 0:
         return (sizes[1] + 1) / (sum(sizes) + 2)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.labels import held_out, labelled_sample, logistic_fit, sigmoid
+from marquee.llm.labels import SAMPLE_BYTES, held_out, labelled_sample, logistic_fit, sigmoid
 from marquee.llm.words import LOWER, give_back, mix, rolling_sums, span_hashes, split, text_slices
 
 SAMPLE_PER_CLASS = 2048  # labelled documents of each class that the model is fitted on, at most
@@ -262,10 +262,14 @@ def fit_documents(rows: list[np.ndarray], labels: np.ndarray, class_sizes: tuple
 
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col: str = "doc_id",
-    text_col: str = "text", sample_per_class: int = SAMPLE_PER_CLASS,
+    text_col: str = "text", sample_per_class: int = SAMPLE_PER_CLASS, sample_bytes: int = SAMPLE_BYTES,
 ) -> ToxicityModel:
-    """Fit on a bounded sample of labelled documents, in one task; a constant where only one class is labelled."""
-    sample, sizes = labelled_sample(docs, labels, label_col, sample_per_class, id_col, text_col)
+    """Fit in one task on a sample of labelled documents, bounded in documents and bytes.
+
+    A constant where only one class or none is labelled. Nulls, repeated ids and empty
+    tables as in labelled_sample().
+    """
+    sample, sizes = labelled_sample(docs, labels, label_col, sample_per_class, id_col, text_col, sample_bytes)
     prior = ToxicityModel(constant=(sizes[1] + 1) / (sum(sizes) + 2))
     if min(sizes) == 0:
         return prior
@@ -318,8 +322,10 @@ def score_toxicity(
                         text = np.searchsorted(t.first, hit, "right") - 1
                         counts[low:high] = np.bincount(text, minlength=high - low)
                         base = points[bounds[text]]
-                        for i, a, b in zip(text + low, points[t.start[hit]] - base, points[t.end[hit]] - base):
-                            spans[i] += f"{',' if spans[i] else ''}{a}:{b}"
+                        named = [f"{a}:{b}" for a, b in zip(points[t.start[hit]] - base, points[t.end[hit]] - base)]
+                        begin = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+                        for a, b in zip(begin, np.append(begin[1:], len(text))):
+                            spans[low + text[a]] = ",".join(named[a:b])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array(counts), pa.array(spans, pa.string())],
                 names=["doc_id", "score", "n_spans", "spans"],
@@ -340,7 +346,12 @@ def score_toxicity(
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows whose score is below the threshold, with all columns as they are; nothing is shuffled."""
+    """The rows whose score is below the threshold, with all columns as they are; nothing is shuffled.
+
+    A null or empty text has no toxic word, so its row stays unless the model is a constant
+    over the threshold. Each of repeated rows is judged alike; other columns may have any
+    names and null values; an empty table gives an empty one. Texts are used whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 

@@ -1,0 +1,162 @@
+"""Whole queries of toxicity, quality and sharding against plain versions that look at one text or row at a time."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import defaultdict
+from functools import cache
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.llm import quality, sharding, toxicity
+from marquee.llm.labels import labelled_sample
+from marquee.llm.queries import QUERIES, table
+
+BLANK = rb"[^\x20\x09-\x0D]+"
+
+
+def logistic(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def texts_of(spark, folder):
+    return {r.doc_id: r.text or "" for r in table(spark, folder, "documents").collect()}
+
+
+@cache
+def word_features(word: bytes) -> tuple[int, int, tuple[int, ...]]:
+    """Bounds of a word without outer punctuation, and its features."""
+    t = toxicity.tokens(np.frombuffer(word, np.uint8), np.array([0, len(word)]))
+    return int(t.start[0]), int(t.end[0]), tuple(t.cells[:, 0].tolist())
+
+
+def plain_toxicity(text: str, model) -> tuple[float, str]:
+    """Score and spans of one text, by forward and backward probabilities sentence by sentence."""
+    data = text.encode()
+    chains, before = [], None
+    for m in re.finditer(BLANK, data):
+        if before is None or data[before - 1 : before] in (b".", b"!", b"?") or b"\n" in data[before : m.start()]:
+            chains.append([])
+        before = m.end()
+        low, high, cells = word_features(m.group())
+        weight = model.bias + sum(float(model.theta[c]) for c in cells)
+        chains[-1].append((weight, m.start() + low, m.start() + high))
+    moves = np.exp(model.moves)
+    odds, spans = [], []
+    for chain in chains:
+        own = [np.array([1.0, math.exp(w)]) for w, _, _ in chain]
+        forward, backward = [own[0] / own[0].sum()], [np.ones(2)]
+        for x in own[1:]:
+            f = x * (forward[-1] @ moves)
+            forward.append(f / f.sum())
+        for x in own[:0:-1]:
+            b = moves @ (x * backward[-1])
+            backward.append(b / b.sum())
+        for f, b, (_, low, high) in zip(forward, backward[::-1], chain):
+            p = f * b
+            odds.append(math.log(p[1] / p[0]))
+            if odds[-1] >= 0:
+                spans.append(f"{len(data[:low].decode())}:{len(data[:high].decode())}")
+    expected = math.log1p(sum(logistic(x) for x in odds if logistic(x) >= 0.1))
+    strongest = min(max([*odds, -6.0]), 6.0)
+    return logistic(model.calibration @ [strongest, expected, 1.0]), ",".join(spans)
+
+
+def test_toxicity_query(spark):
+    sf_dir = "/root/testdata/sf0.01"  # fewer documents hold too few toxic words
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model, texts = toxicity.fit_toxicity(docs, labels), texts_of(spark, sf_dir)
+    found = QUERIES["op6_toxicity"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts) and any(r.spans for r in found)
+    for r in found:
+        score, spans = plain_toxicity(texts[r.doc_id], model)
+        assert r.score == pytest.approx(score, abs=1e-6) and r.spans == spans
+        assert r.predicted == (r.score >= 0.5) and r.n_spans == len(spans.split(",") if spans else [])
+
+
+def plain_quality(text: str, model) -> float:
+    data, odd = text.encode(), 0x9E3779B97F4A7C15
+    cells = set()
+    for n in quality.NGRAMS:
+        for i in range(len(data) - n + 1):
+            code = int.from_bytes(data[i : i + n], "big") + (n << 40)
+            cell = (code * odd) % (1 << 64) >> 46
+            cells.add(cell + 8 if cell < 8 else cell)
+    words = [m.group().lower() for m in re.finditer(BLANK, data)]
+    run = longest = 1
+    for a, b in zip(words, words[1:]):
+        run = run + 1 if a == b else 1
+        longest = max(longest, run)
+    cells |= {r for r in quality.RUNS if longest >= r}
+    at = np.array(sorted(cells), int)
+    scale, weights = model[: quality.CELLS].astype(float), model[quality.CELLS : 2 * quality.CELLS + 1].astype(float)
+    length = math.sqrt(sum(scale[at] ** 2)) if len(at) else 0
+    margin = sum(scale[at] * weights[at]) / max(length, 1e-12) + weights[-1]
+    return logistic(float(model[-2]) * margin + float(model[-1]))
+
+
+def test_quality_query(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model, texts = quality.fit_quality(docs, labels), texts_of(spark, sf_dir)
+    found = QUERIES["op7_quality"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts) and len({r.predicted for r in found}) == 2
+    for r in found:
+        assert r.score == pytest.approx(plain_quality(texts[r.doc_id], model), abs=1e-4)
+        assert r.predicted == (r.score >= 0.3)
+
+
+def plain_shards(rows, limit, bits=""):
+    """{id: shard} of (id, bytes, leading bits): a bucket over the limit splits on its next bit."""
+    if sum(n for _, n, _ in rows) <= limit or len(rows) == 1:
+        return {i: bits or "-" for i, _, _ in rows}
+    halves = defaultdict(list)
+    for row in rows:
+        halves[row[2][len(bits)]].append(row)
+    return {i: s for b, own in halves.items() for i, s in plain_shards(own, limit, bits + b).items()}
+
+
+@pytest.mark.parametrize("limit", [None, 200_000, 3_000])
+def test_sharding_query(spark, sf_dir, limit):
+    docs = table(spark, sf_dir, "documents")
+    found = QUERIES["op9_sharding"](spark, sf_dir) if limit is None else sharding.assign_shards(docs, limit=limit)
+    hashes = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).collect()
+    rows = [(r.doc_id, len((r.text or "").encode()), f"{r.h % (1 << 64):064b}") for r in hashes]
+    shards, sizes = plain_shards(rows, limit or sharding.SHARD_BYTES), {i: n for i, n, _ in rows}
+    got = {r.doc_id: (r.shard, r.n_bytes, r.depth) for r in found.collect()}
+    assert got == {i: (s, sizes[i], 0 if s == "-" else len(s)) for i, s in shards.items()}
+
+
+def test_labelled_sample_is_bounded_in_rows_and_bytes(spark):
+    """An id repeated many times enters once, equal texts enter once, and a class holds its bytes; texts stay whole."""
+    ids = [i for i in range(1, 60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    rows = [(i, f"{i:03d}" + "x" * 97) for i in ids] + [(1, f"copy {k}") for k in range(500)] + [(2, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def sample(**bounds):
+        return labelled_sample(docs, labels, "toxic", bounds.get("rows", 1000), "doc_id", "text", bounds.get("max_bytes", 1 << 20))[0].collect()
+
+    whole, few, small = sample(), sample(rows=5), sample(max_bytes=450)
+    usable = labels.filter("crc32(CAST(doc_id AS STRING)) % 5 <> 0").count()
+    assert len(whole) == usable and len(few) == 10
+    for v in (0, 1):
+        own = [r.text for r in small if r.label == v]
+        assert 0 < sum(map(len, own)) <= 450 and len(own) >= 4
+    assert {tuple(r) for r in small} <= {tuple(r) for r in whole}
+    assert len(sample(max_bytes=1)) == 2  # the first text of a class stays, however long
+    assert labelled_sample(docs.limit(0), labels, "toxic", 9, "doc_id", "text")[0].count() == 0
+
+
+def test_spans_of_many_offences_take_time_in_proportion(spark):
+    """A text of 200,000 offences has all its spans, each once and in order."""
+    rows = [(i, "thou art a knave" if i % 2 else "plain good words here") for i in range(400)]
+    rows = [(i, f"{t} w{i} v{i * 7}") for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    text = "knave " * 200_000
+    (found,) = toxicity.score_toxicity(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).collect()
+    assert found.spans == ",".join(f"{6 * i}:{6 * i + 5}" for i in range(200_000)) and found.n_spans == 200_000
