@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from marquee.session import enable_checkpoints
 
+PARTITION_ROWS = 1 << 18  # links in a partition, of 16 bytes each
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): for every linked node the smallest node reachable from it.
@@ -16,6 +18,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Minima combine before the shuffle and joins carry one narrow row for each link, so a
     node with very many links is no group that a task must hold. Rounds are checkpointed
     in the shared folder. Links to oneself, repeated links and nulls are harmless.
+
+    Partitions follow the measured number of links, PARTITION_ROWS each, up to the
+    session's: a round over few links writes no file for each two of its partitions.
     """
     enable_checkpoints(links.sparkSession)
     edges = (
@@ -24,9 +29,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct()
         .checkpoint()
     )
+    parts = 1 + edges.count() // PARTITION_ROWS  # a round never makes more links than it has
+    most = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def sized(frame: DataFrame) -> DataFrame:
+        return frame.coalesce(parts) if parts < most else frame
+
     before = None
     while True:
-        sides = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        sides = sized(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (
             sides.filter(F.col("v") > F.col("u"))
@@ -39,7 +50,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v"))
         )
-        edges = small.filter(F.col("u") != F.col("v")).distinct().checkpoint()
+        edges = sized(sized(small).filter(F.col("u") != F.col("v")).distinct()).checkpoint()
         state = edges.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")
         ).first()
@@ -47,4 +58,5 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         before = state
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    roots = sized(edges).select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return sized(stars.union(roots))
