@@ -132,6 +132,22 @@ def block_frequencies(texts: DataFrame, bench: Benchmark) -> tuple[np.ndarray, i
     return total[:n], int(total[n])
 
 
+def _run_sums(values: np.ndarray, rows: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each run of equal numbers in ``runs``, sum of values[rows] over it), longest runs first.
+
+    All runs take their next row at once, each in its own order: the sums of np.add.reduceat, but
+    whole slices are added, and values[rows] is never there as a whole.
+    """
+    begin = np.flatnonzero(np.concatenate(([True], runs[1:] != runs[:-1])))
+    length = np.diff(begin, append=len(runs))
+    order = np.argsort(-length, kind="stable")
+    begin, length = begin[order], length[order]
+    sums = values[rows[begin]]
+    for k, n in enumerate(np.searchsorted(-length, -np.arange(1, length[0])).tolist(), 1):
+        sums[:n] += values[rows[begin[:n] + k]]
+    return begin, sums
+
+
 class Hits:
     """The vocabulary words of a range of whole blocks as a matrix of counts, blocks by vocabulary.
 
@@ -154,8 +170,8 @@ class Hits:
         """counts @ values, of which there is one row for each vocabulary word."""
         sums = self.counts @ values[self.dense]
         if len(self.block):
-            begin = np.flatnonzero(np.concatenate(([True], self.block[1:] != self.block[:-1])))
-            sums[self.block[begin]] += np.add.reduceat(values[self.place], begin)
+            begin, more = _run_sums(values, self.place, self.block)
+            sums[self.block[begin]] += more
         return sums
 
     def add_transposed(self, rows: np.ndarray, total: np.ndarray) -> None:
@@ -163,8 +179,9 @@ class Hits:
         total[self.dense] += self.counts.T @ rows
         if len(self.place):
             order = np.argsort(self.place, kind="stable")
-            begin = np.flatnonzero(np.concatenate(([True], np.diff(self.place[order]) != 0)))
-            total[self.place[order][begin]] += np.add.reduceat(rows[self.block[order]], begin)
+            place = self.place[order]
+            begin, more = _run_sums(rows, self.block[order], place)
+            total[place[begin]] += more
 
 
 def _pieces(bench: Benchmark, words, blocks: int = 1024) -> Iterator[tuple[int, int, int, Hits]]:

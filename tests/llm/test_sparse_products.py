@@ -1,0 +1,42 @@
+"""The products of the decontamination's count matrix with few numbers a word."""
+
+from __future__ import annotations
+
+import tracemalloc
+
+import numpy as np
+import pytest
+
+from marquee.llm.decontamination import Benchmark, Hits
+
+
+def hits(rng, number: int, blocks: int, words: int, dense: int):
+    bench = Benchmark([], [], [], np.arange(words, dtype=np.uint64), np.zeros(0, bool), np.arange(dense))
+    block, place = np.sort(rng.integers(0, blocks, number)), rng.integers(0, words, number)
+    counts = np.zeros((blocks, words))
+    np.add.at(counts, (block, place), 1)
+    return Hits(bench, block, place, blocks), counts
+
+
+@pytest.mark.parametrize("number, blocks, words, dense", [(0, 3, 4, 0), (1, 1, 1, 0), (1, 3, 4, 4), (500, 9, 30, 0), (5000, 40, 70, 3)])
+def test_products_equal_those_of_the_whole_matrix(number, blocks, words, dense):
+    rng = np.random.default_rng(number)
+    found, counts = hits(rng, number, blocks, words, dense)
+    values, rows = rng.standard_normal((words, 6)).astype(np.float32), rng.standard_normal((blocks, 6)).astype(np.float32)
+    total = np.zeros((words, 6), np.float32)
+    found.add_transposed(rows, total)
+    assert np.allclose(found.times(values), counts @ values, rtol=1e-4, atol=1e-4)
+    assert np.allclose(total, counts.T @ rows, rtol=1e-4, atol=1e-4)
+
+
+def test_no_product_holds_a_row_for_each_occurrence():
+    rng = np.random.default_rng(1)
+    number, blocks, words, width = 60_000, 1000, 500, 64
+    found, _ = hits(rng, number, blocks, words, 0)
+    values, rows, total = (np.ones((n, width), np.float32) for n in (words, blocks, words))
+    for product in (lambda: found.times(values), lambda: found.add_transposed(rows, total)):
+        tracemalloc.start()
+        product()
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert peak < number * width * 4 / 3  # bytes of as many rows
