@@ -34,6 +34,7 @@ DENSE_SHARE = 0.02  # words in more blocks than this are multiplied as a dense m
 LEAST_COSINE = 0.3
 COVERED, PARAPHRASED = 0.75, 0.5  # least share of a window's words in common order; the second needs the answer
 ANSWER_WORDS = 5  # closing words of an item that stand for its answer where none is given
+EIGHT, ROWS_AT_ONCE = 8, 4096  # rows of a run summed in step; rows of longer runs gathered at a time
 SHORT = 8  # shorter windows must stand in the passage word by word
 
 _U = np.uint64
@@ -135,16 +136,32 @@ def block_frequencies(texts: DataFrame, bench: Benchmark) -> tuple[np.ndarray, i
 def _run_sums(values: np.ndarray, rows: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first place of each run of equal numbers in ``runs``, sum of values[rows] over it), longest runs first.
 
-    All runs take their next row at once, each in its own order: the sums of np.add.reduceat, but
-    whole slices are added, and values[rows] is never there as a whole.
+    The sums are those of np.add.reduceat to the last digit, which for up to EIGHT rows are the first
+    plus the sum of the others in order. Such runs take their next row all at once, and longer ones
+    go to it some thousand rows at a time, so values[rows] is never there as a whole.
     """
     begin = np.flatnonzero(np.concatenate(([True], runs[1:] != runs[:-1])))
     length = np.diff(begin, append=len(runs))
     order = np.argsort(-length, kind="stable")
     begin, length = begin[order], length[order]
+    longer = np.searchsorted(-length, -np.arange(EIGHT + 1))  # how many runs have more rows than 0, 1, ...
     sums = values[rows[begin]]
-    for k, n in enumerate(np.searchsorted(-length, -np.arange(1, length[0])).tolist(), 1):
-        sums[:n] += values[rows[begin[:n] + k]]
+    end = np.cumsum(length[: longer[EIGHT]])
+    low = 0
+    while low < len(end):
+        before = end[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(end, before + ROWS_AT_ONCE, "right")))
+        first = np.concatenate(([0], end[low : high - 1] - before))
+        at = np.arange(end[high - 1] - before) + np.repeat(begin[low:high] - first, length[low:high])
+        sums[low:high] = np.add.reduceat(values[rows[at]], first)
+        low = high
+    short = begin[longer[EIGHT] : longer[1]]
+    if len(short):
+        others = values[rows[short + 1]]
+        for k in range(2, EIGHT):
+            own = short[: longer[k] - longer[EIGHT]]
+            others[: len(own)] += values[rows[own + k]]
+        sums[longer[EIGHT] : longer[1]] += others
     return begin, sums
 
 

@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
-from marquee.llm.decontamination import Benchmark, Hits
+from marquee.llm.decontamination import Benchmark, Hits, _run_sums
 
 
 def hits(rng, number: int, blocks: int, words: int, dense: int):
@@ -29,6 +29,18 @@ def test_products_equal_those_of_the_whole_matrix(number, blocks, words, dense):
     assert np.allclose(total, counts.T @ rows, rtol=1e-4, atol=1e-4)
 
 
+@pytest.mark.parametrize("longest", [1, 2, 3, 8, 9, 10, 40, 700])
+def test_sums_of_runs_are_reduceats_to_the_last_digit(longest):
+    rng = np.random.default_rng(longest)
+    length = rng.integers(1, longest + 1, 300)
+    runs = np.repeat(np.arange(300) * 3, length)
+    values, rows = rng.standard_normal((50, 7)).astype(np.float32), rng.integers(0, 50, len(runs))
+    begin, sums = _run_sums(values, rows, runs)
+    order = np.argsort(begin)
+    assert (begin[order] == np.cumsum(length) - length).all()
+    assert (sums[order] == np.add.reduceat(values[rows], begin[order])).all()
+
+
 def test_no_product_holds_a_row_for_each_occurrence():
     rng = np.random.default_rng(1)
     number, blocks, words, width = 60_000, 1000, 500, 64
