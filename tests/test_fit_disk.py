@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pytest
 
-from marquee.plans import recommend
+from marquee.plans import recommend, tuning
 from marquee.plans.recommend import AlsSettings
 
 
@@ -42,3 +42,14 @@ def test_a_fit_holds_one_iteration_on_disk_however_many_it_runs(spark, ratings):
     one = held(1, 0)
     assert 0 < held(5, one) <= one
 
+
+def test_a_grid_leaves_no_shuffle_files_of_lost_fits(spark, ratings):
+    def held(cells: int, most: int) -> int:
+        before = shuffles(spark)
+        regs = [0.1 * k for k in range(1, cells + 1)]
+        base = AlsSettings(blocks=2)
+        tuned = tuning.tune(ratings, ratings, ranks=(2,), reg_params=regs, max_iter=1, base=base)
+        return left(spark, before, most) if tuned.metrics.count() == cells else -1
+
+    two = held(2, 0)
+    assert 0 < held(8, two) <= two
