@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.words import AS_IS, BLANKS, word_slices
+from marquee.llm.words import AS_IS, BLANKS, returning_memory, word_slices
 
 PART_BYTES = 1 << 20  # benchmark text searched at a time; bounds vocabulary and broadcasts
 WINDOW, STRIDE = 64, 32  # words of a passage and of its blocks
@@ -482,4 +482,4 @@ def decontaminate(
                         clean[low + text] = False
             yield batch.select(range(width)).filter(pa.array(clean))
 
-    return kept.mapInArrow(keep, docs.schema)
+    return kept.mapInArrow(returning_memory(keep), docs.schema)

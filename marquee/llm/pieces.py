@@ -28,11 +28,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.token_counts import PreTokens, check_separable, plain_spaces
-from marquee.llm.words import AS_IS, SPACE_ONLY, mix, word_slices
+from marquee.llm.token_counts import PreTokens, check_separable, plain_slices
+from marquee.llm.words import Words, mix, returning_memory
 
 CACHE_TOKENS = 2_500_000  # ids in a worker's cache of encoded words; it starts anew when full
-BATCH_CELLS = 2_000_000  # entries of one batch's piece table
+BATCH_CELLS = 500_000  # entries of one batch's piece table
 LONG_WORD = 256  # characters from which a word is no longer part of a batch
 UNKNOWN_SCORE = -1e4
 
@@ -323,6 +323,27 @@ def _encoder(model: bytes, merges: bool) -> Encoder:
     return _ENCODERS[name]
 
 
+def _encoded(encoder: Encoder, own: pa.Array, words: Words) -> pa.RecordBatch:
+    """What encode_texts() returns for one slice of texts with the ids ``own``."""
+    ids, bounds = encoder(words)
+    back, ends = decode(encoder.vocabulary, ids, bounds)
+    same = np.array_equal(ends, words.text_bounds) and np.array_equal(back, words.data)
+    if not same:
+        same = [
+            np.array_equal(back[a:b], words.data[c:d])
+            for a, b, c, d in zip(ends, ends[1:], words.text_bounds, words.text_bounds[1:])
+        ]
+    return pa.RecordBatch.from_arrays(
+        [
+            own,
+            pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
+            pa.array(np.diff(bounds), pa.int64()),
+            pa.array(np.broadcast_to(same, len(own)), pa.bool_()),
+        ],
+        names=["doc_id", "ids", "n_tokens", "round_trip"],
+    )
+
+
 def encode_texts(
     docs: DataFrame, model: bytes, *, merges: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -340,28 +361,12 @@ def encode_texts(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, merges)
         for batch in batches:
-            for low, high, words in word_slices(plain_spaces(batch.column(1)), SPACE_ONLY, AS_IS):
-                ids, bounds = encoder(words)
-                back, ends = decode(encoder.vocabulary, ids, bounds)
-                same = np.array_equal(ends, words.text_bounds) and np.array_equal(back, words.data)
-                if not same:
-                    same = [
-                        np.array_equal(back[a:b], words.data[c:d])
-                        for a, b, c, d in zip(ends, ends[1:], words.text_bounds, words.text_bounds[1:])
-                    ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
-                        pa.array(np.diff(bounds), pa.int64()),
-                        pa.array(np.broadcast_to(same, high - low), pa.bool_()),
-                    ],
-                    names=["doc_id", "ids", "n_tokens", "round_trip"],
-                )
+            for low, high, words in plain_slices(batch.column(1)):
+                yield _encoded(encoder, batch.column(0).slice(low, high - low), words)
 
     kind = dict(docs.dtypes)[id_col]
     encoded = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        encode, f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean"
+        returning_memory(encode), f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean"
     )
     return encoded.withColumnRenamed("doc_id", id_col)
 

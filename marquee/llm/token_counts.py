@@ -18,7 +18,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.words import AS_IS, SPACE_ONLY, mix, word_slices
+from marquee.llm.words import AS_IS, SPACE_ONLY, Words, mix, text_slices, word_slices
 
 TABLE_SIZE = 16384  # pre-tokens in the broadcast table: 16384 * 12 bytes
 TASK_SUMMARY = 4096  # pre-tokens that each task proposes for it
@@ -46,6 +46,14 @@ def plain_spaces(column: pa.Array) -> pa.Array:
     return pc.replace_substring(column.fill_null(""), _SEPARATOR, " ")
 
 
+def plain_slices(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
+    """word_slices() at single spaces of the texts with plain spaces, of which one slice at a time is copied."""
+    for low, high, _, _ in text_slices(column):
+        # What is replaced gets shorter, so these texts are one slice again.
+        for _, _, words in word_slices(plain_spaces(column.slice(low, high - low)), SPACE_ONLY, AS_IS):
+            yield low, high, words
+
+
 class PreTokens:
     """Pre-tokens of a slice of texts: words with the number of spaces before each."""
 

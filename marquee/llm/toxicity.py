@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.labels import SAMPLE_BYTES, held_out, labelled_sample, logistic_fit, sigmoid
-from marquee.llm.words import LOWER, give_back, mix, rolling_sums, span_hashes, split, text_slices
+from marquee.llm.words import LOWER, give_back, mix, returning_memory, rolling_sums, span_hashes, split, text_slices
 
 SAMPLE_PER_CLASS = 2048  # labelled documents of each class that the model is fitted on, at most
 CELLS = 1 << 20
@@ -365,4 +365,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text",
                     scores[low:high] = model.score(model.odds(t), t.first)
             yield batch.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(returning_memory(keep), docs.schema)

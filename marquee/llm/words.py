@@ -8,7 +8,7 @@ where that is longer), so a task's memory follows its longest text, not its batc
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -111,6 +111,20 @@ def give_back() -> None:
         _TRIM(0)
 
 
+def returning_memory(task: Callable) -> Callable:
+    """``task`` for mapInArrow, after which the worker returns what the task has freed.
+
+    Idle workers of earlier stages count as memory of their executor, and give_back() in the midst
+    of a task cannot return what the task still holds.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 def text_slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, bytes, bounds) of consecutive texts of about ``limit`` bytes; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
