@@ -53,3 +53,25 @@ def test_a_grid_leaves_no_shuffle_files_of_lost_fits(spark, ratings):
 
     two = held(2, 0)
     assert 0 < held(8, two) <= two
+
+
+def test_the_next_fit_first_deletes_what_a_lost_one_left(spark, ratings):
+    before = shuffles(spark)
+    settings = AlsSettings(rank=2, max_iter=1, blocks=2)
+    model = recommend.fit(ratings, settings, unique_pairs=True)
+    lost = shuffles(spark) - before
+    assert lost
+    del model
+    model = recommend.fit(ratings, settings, unique_pairs=True)
+    end = time.time() + 6
+    while lost & shuffles(spark) and time.time() < end:
+        time.sleep(0.2)
+    assert not lost & shuffles(spark)
+
+
+def test_recommendations_leave_no_shuffle_files_of_their_fit(spark, ratings):
+    movies = spark.createDataFrame([(m, f"Title {m % 4}") for m in range(1, 21)], "movieid bigint, title string")
+    before = shuffles(spark)
+    best = recommend.infer(ratings, movies, "title 1", 2, AlsSettings(rank=2, max_iter=2, blocks=2))
+    assert left(spark, before, 0) == 0
+    assert best.count() == 4
