@@ -8,6 +8,9 @@ The chain (two states, one chain for each sentence) is trained on these words; f
 and backward passes then give the marginal of every word of every text. A document's
 score is a calibrated function of its strongest marginal and of the expected number of
 toxic words; words with a marginal of a half or more are its offending spans.
+
+Chains do not depend on each other, so the fit goes through them in groups of about GROUP_WORDS
+words: for a word of the whole sample it keeps its features and its label, about 20 bytes.
 """
 
 from __future__ import annotations
@@ -16,8 +19,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,7 @@ PREFIXES = (4, 5, 6)
 TEMPLATES = 1 + len(PREFIXES)
 LEAST_TEXTS, CLEAN_RATIO, FALSE_SHARE = 4, 30.0, 0.01
 ROUNDS, RATE, RIDGE = 40, 0.5, 1e-5
+GROUP_WORDS = 1 << 19  # words that the fit works on at a time, or one chain or text that has more
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -107,17 +111,34 @@ def marginals(emission: np.ndarray, start: np.ndarray, length: np.ndarray, moves
     return forward + backward, forward, backward
 
 
+def _groups(bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """(low, high) of consecutive parts that have ``limit`` words together, or of one that has more.
+
+    Part i has the words from bounds[i] to bounds[i + 1].
+    """
+    low = 0
+    while low < len(bounds) - 1:
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + limit, "right")) - 1)
+        yield low, high
+        low = high
+
+
 def _distinct_texts(cells: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Number of each document's text, near copies having the same: documents with an equal minimum of shingle hashes."""
     same = np.arange(len(first) - 1)
-    h = cells[0].astype(np.uint64)
-    runs = np.zeros(len(h), np.uint64)
-    for k in range(5):
-        runs = mix(runs + np.roll(h, -k) + np.uint64(1))
     long = np.flatnonzero(np.diff(first) >= 5)
-    for seed in range(8):
-        own = mix(runs ^ np.uint64(0x9E3779B97F4A7C15 * (seed + 1) % (1 << 64)))
-        least = np.array([own[first[i] : first[i + 1] - 4].min() for i in long], np.uint64)
+    minima = np.empty((8, len(long)), np.uint64)
+    for low, high in _groups(first, GROUP_WORDS):
+        h = cells[0, first[low] : first[high]].astype(np.uint64)
+        runs = np.zeros(len(h), np.uint64)
+        for k in range(5):
+            runs = mix(runs + np.roll(h, -k) + np.uint64(1))
+        a, b = np.searchsorted(long, (low, high))
+        begin, end = first[long[a:b]] - first[low], first[long[a:b] + 1] - first[low]
+        for seed in range(8):
+            own = mix(runs ^ np.uint64(0x9E3779B97F4A7C15 * (seed + 1) % (1 << 64)))
+            minima[seed, a:b] = [own[x : y - 4].min() for x, y in zip(begin, end)]
+    for least in minima:
         place = np.unique(least, return_inverse=True)[1]
         while True:  # the smallest number spreads over documents of equal minimum and of equal number
             before = same.copy()
@@ -131,6 +152,19 @@ def _distinct_texts(cells: np.ndarray, first: np.ndarray) -> np.ndarray:
     return same
 
 
+def _texts_by_cell(cells: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """How many distinct texts hold each cell."""
+    pairs = cells.astype(np.int64)
+    pairs <<= 32
+    pairs |= text
+    pairs.sort()
+    fresh = np.ones(len(pairs), bool)
+    fresh[1:] = pairs[1:] != pairs[:-1]
+    pairs = pairs[fresh]
+    pairs >>= 32
+    return np.bincount(pairs, minlength=CELLS)
+
+
 def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Distant labels of training words, given whether their document is toxic and the number of its text.
 
@@ -141,10 +175,7 @@ def _toxic_words(cells: np.ndarray, toxic_doc: np.ndarray, text: np.ndarray) ->
     marked = np.zeros(cells.shape[1], bool)
     n_toxic, n_clean = max(toxic_doc.sum(), 1), max((~toxic_doc).sum(), 1)
     for k in range(TEMPLATES):
-        texts = [
-            np.bincount(np.unique((cells[k, own].astype(np.int64) << 32) | text[own]) >> 32, minlength=CELLS)
-            for own in (toxic_doc, ~toxic_doc)
-        ]
+        texts = [_texts_by_cell(cells[k, own], text[own]) for own in (toxic_doc, ~toxic_doc)]
         seen = np.flatnonzero(texts[0] + texts[1])
         t, c = texts[0][seen], texts[1][seen]
         chance, share = max(t.sum(), 1) / max((t + c).sum(), 1), t / (t + c)
@@ -172,28 +203,50 @@ def emissions(theta: np.ndarray, cells: np.ndarray, bias: float) -> np.ndarray:
     return total
 
 
+def _expected_moves(emission, forward, backward, start, moves):
+    """Expected number of moves between neighbours: each is forward, move, emission and backward."""
+    inner = np.ones(len(emission), bool)
+    inner[start] = False
+    later = np.flatnonzero(inner)
+    f, b = forward[later - 1], emission[later] + backward[later]
+    whole = np.logaddexp(np.logaddexp(moves[0, 0], moves[0, 1] + b), f + np.logaddexp(moves[1, 0], moves[1, 1] + b))
+    return np.array([[np.exp(moves[i, j] + i * f + j * b - whole).sum() for j in (0, 1)] for i in (0, 1)])
+
+
 def fit_chain(cells: np.ndarray, start: np.ndarray, length: np.ndarray, y: np.ndarray):
-    """Feature weights and transition scores that maximise the regularised likelihood of the word labels."""
+    """Feature weights and transition scores that maximise the regularised likelihood of the word labels.
+
+    The chains follow each other without gaps.
+    """
     theta, moves = np.zeros(CELLS), np.zeros((2, 2))
     count = sum(np.bincount(own, minlength=CELLS) for own in cells)
     scale = 1 / np.sqrt(np.maximum(count, 1))
+    del count
     square, square_moves = np.full(CELLS, 1e-6), np.full((2, 2), 1e-6)
     n = max(len(y), 1)
-    inner = np.ones(len(y), bool)
-    inner[start] = False
-    later = np.flatnonzero(inner)
+    bounds = np.append(start, len(y))
+    groups = [(low, high, slice(bounds[low], bounds[high])) for low, high in _groups(bounds, GROUP_WORDS)]
     seen = np.zeros((2, 2))
-    np.add.at(seen, (y[later - 1].astype(int), y[later].astype(int)), 1)
+    for low, high, part in groups:
+        inner = np.ones(part.stop - part.start, bool)
+        inner[start[low:high] - part.start] = False
+        move = 2 * y[part].astype(np.int8)[:-1] + y[part][1:]
+        seen += np.bincount(move[inner[1:]], minlength=4).reshape(2, 2)
     bias = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)) if len(y) else 0.0
+    gradients = np.empty((len(cells), CELLS))
     for _ in range(ROUNDS):
-        emission = emissions(theta, cells, bias)
-        odds, forward, backward = marginals(emission, start, length, moves)
-        error = sigmoid(odds) - y
-        gradient = sum(np.bincount(own, error, CELLS) for own in cells) * scale + RIDGE * n * theta * 1e-2
-        # Expected transitions: the joint of two neighbours is forward, move, emission and backward.
-        f, b = forward[later - 1], emission[later] + backward[later]
-        whole = np.logaddexp(np.logaddexp(moves[0, 0], moves[0, 1] + b), f + np.logaddexp(moves[1, 0], moves[1, 1] + b))
-        joint = np.array([[np.exp(moves[i, j] + i * f + j * b - whole).sum() for j in (0, 1)] for i in (0, 1)])
+        gradients[:] = 0
+        joint = np.zeros((2, 2))
+        for low, high, part in groups:
+            own_start = start[low:high] - part.start
+            emission = emissions(theta, cells[:, part], bias)
+            odds, forward, backward = marginals(emission, own_start, length[low:high], moves)
+            joint += _expected_moves(emission, forward, backward, own_start, moves)
+            del emission, forward, backward
+            error = sigmoid(odds) - y[part]
+            for total, own in zip(gradients, cells[:, part]):
+                total += np.bincount(own, error, CELLS)
+        gradient = sum(gradients) * scale + RIDGE * n * theta * 1e-2
         gradient_moves = (joint - seen) / np.sqrt(n) + 0.01 * moves
         square += gradient**2
         square_moves += gradient_moves**2
@@ -248,16 +301,25 @@ class ToxicityModel:
 
 
 def fit_documents(rows: list[np.ndarray], labels: np.ndarray, class_sizes: tuple[int, int]) -> ToxicityModel:
-    first = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
-    table = np.concatenate(rows) if rows else np.zeros((0, TEMPLATES + 1), np.int32)
-    cells, start = np.ascontiguousarray(table[:, :TEMPLATES].T), np.flatnonzero(table[:, TEMPLATES])
-    length = np.diff(np.append(start, len(table)))
-    y = _toxic_words(cells, *(np.repeat(x, np.diff(first)) for x in (labels == 1, _distinct_texts(cells, first))))
+    first = np.concatenate(([0], np.cumsum([len(r) for r in rows], dtype=np.int64)))
+    cells, opens = np.empty((TEMPLATES, first[-1]), np.int32), np.empty(first[-1], bool)
+    for own, low, high in zip(rows, first[:-1], first[1:]):
+        cells[:, low:high], opens[low:high] = own[:, :TEMPLATES].T, own[:, TEMPLATES]
+    start = np.flatnonzero(opens)
+    length = np.diff(np.append(start, len(opens)))
+    del opens
+    text = _distinct_texts(cells, first).astype(np.int32)
+    y = _toxic_words(cells, *(np.repeat(x, np.diff(first)) for x in (labels == 1, text)))
     theta, moves, bias = fit_chain(cells, start, length, y)
     theta = theta.astype(np.float32)
-    odds = marginals(emissions(theta, cells, bias), start, length, moves)[0]
+    summary = np.empty((len(rows), 2))
+    for low, high in _groups(first, GROUP_WORDS):
+        a, b = np.searchsorted(start, (first[low], first[high]))
+        emission = emissions(theta, cells[:, first[low] : first[high]], bias)
+        odds = marginals(emission, start[a:b] - first[low], length[a:b], moves)[0]
+        summary[low:high] = _summary(odds, first[low : high + 1] - first[low])
     weight = np.where(labels == 1, class_sizes[1] / (labels == 1).sum(), class_sizes[0] / (labels == 0).sum())
-    return ToxicityModel(theta, moves, bias, logistic_fit(_summary(odds, first), labels.astype(float), weight))
+    return ToxicityModel(theta, moves, bias, logistic_fit(summary, labels.astype(float), weight))
 
 
 def fit_toxicity(
@@ -274,20 +336,21 @@ def fit_toxicity(
     if min(sizes) == 0:
         return prior
 
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        order = sorted(range(len(frame)), key=lambda i: (frame["label"].iat[i], frame["rows"].iat[i]))
-        y = frame["label"].to_numpy()[order]
-        if len(set(y)) < 2:
-            return pd.DataFrame({"theta": [], "rest": []})
-        rows = [np.frombuffer(frame["rows"].iat[i], np.int32).reshape(-1, TEMPLATES + 1) for i in order]
-        m = fit_documents(rows, y, sizes)
-        del rows
-        give_back()
-        rest = np.concatenate((m.moves.ravel(), [m.bias], m.calibration))
-        return pd.DataFrame({"theta": [m.theta.tobytes()], "rest": [rest.tobytes()]})
-
-    tokenised = sample.mapInArrow(_tokenised, "rows binary, label int").withColumn("all", F.lit(True))
-    found = tokenised.groupBy("all").applyInPandas(fit, "theta binary, rest binary").collect()
+    def fit(table: pa.Table) -> pa.Table:
+        order = pc.sort_indices(table, [("label", "ascending"), ("rows", "ascending")]).to_pylist()
+        y = table["label"].to_numpy()[order]
+        theta, rest = [], []
+        if len(set(y)) == 2:
+            # Views of the table's own bytes.
+            rows = [np.frombuffer(table["rows"][i].as_buffer(), np.int32).reshape(-1, TEMPLATES + 1) for i in order]
+            m = fit_documents(rows, y, sizes)
+            del rows
+            give_back()
+            theta, rest = [m.theta.tobytes()], [np.concatenate((m.moves.ravel(), [m.bias], m.calibration)).tobytes()]
+        return pa.table({"theta": pa.array(theta, pa.binary()), "rest": pa.array(rest, pa.binary())})
+
+    tokenised = sample.mapInArrow(returning_memory(_tokenised), "rows binary, label int").withColumn("all", F.lit(True))
+    found = tokenised.groupBy("all").applyInArrow(fit, "theta binary, rest binary").collect()
     if not found:
         return prior
     rest = np.frombuffer(found[0].rest)
