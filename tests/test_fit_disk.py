@@ -1,4 +1,4 @@
-"""Shuffle files that fits leave on disk."""
+"""What fits keep in memory, and shuffle files that they leave on disk."""
 
 from __future__ import annotations
 
@@ -75,3 +75,15 @@ def test_recommendations_leave_no_shuffle_files_of_their_fit(spark, ratings):
     best = recommend.infer(ratings, movies, "title 1", 2, AlsSettings(rank=2, max_iter=2, blocks=2))
     assert left(spark, before, 0) == 0
     assert best.count() == 4
+
+
+def test_nothing_a_fit_keeps_between_its_steps_is_in_memory(spark, ratings):
+    def kept() -> dict[int, tuple[int, int]]:
+        return {r.id(): (r.memSize(), r.diskSize()) for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+
+    before = kept()
+    with recommend.held_pairs(ratings) as pairs:
+        model = recommend.fit(pairs, AlsSettings(rank=2, max_iter=1, blocks=2), unique_pairs=True)
+        mine = [sizes for rdd, sizes in kept().items() if rdd not in before]
+    assert model.rank == 2 and len(mine) >= 3  # ratings and both sides' factors
+    assert all(memory == 0 and disk > 0 for memory, disk in mine)
