@@ -10,6 +10,7 @@ import pytest
 
 from marquee.plans import recommend, tuning
 from marquee.plans.recommend import AlsSettings
+from marquee.session import release_unused
 
 
 def shuffles(spark) -> set[int]:
@@ -87,3 +88,16 @@ def test_nothing_a_fit_keeps_between_its_steps_is_in_memory(spark, ratings):
         mine = [sizes for rdd, sizes in kept().items() if rdd not in before]
     assert model.rank == 2 and len(mine) >= 3  # ratings and both sides' factors
     assert all(memory == 0 and disk > 0 for memory, disk in mine)
+
+
+def test_what_python_lets_go_is_gone_after_the_release(spark, ratings):
+    for _ in range(5):
+        before = shuffles(spark)
+        frame = ratings.repartition(3).localCheckpoint()
+        assert frame.count() and shuffles(spark) - before
+        del frame
+        release_unused(spark)
+        end = time.time() + 1
+        while (more := shuffles(spark) - before) and time.time() < end:
+            time.sleep(0.1)
+        assert not more
